@@ -23,6 +23,9 @@ from hourmart.operators import cleaned as C
 from hourmart.operators import star as ST
 
 
+PERIOD_COLUMNS = ("p_year", "p_month", "p_date")
+
+
 class Tables:
     """Base resolver: ``table(name) -> DataFrame``."""
 
@@ -81,7 +84,9 @@ class DerivedTables(LayeredTables):
 class StoredTables(Tables):
     """Parquet warehouse at ``<base>/<zone>/<table>``.
 
-    Stored raw and fact tables carry an extra ``year`` partition column.
+    Period partition columns (``p_year`` / ``p_month`` / ``p_date``) are
+    storage layout, not data: they are dropped on read so a stored table has
+    exactly the schema of its derived twin.
     """
 
     def __init__(self, spark: SparkSession, base: str):
@@ -94,7 +99,8 @@ class StoredTables(Tables):
     def table(self, name: str) -> DataFrame:
         if name not in S.ZONE_OF:
             raise KeyError(f"unknown table {name!r}")
-        return self.spark.read.parquet(self.path(name))
+        df = self.spark.read.parquet(self.path(name))
+        return df.drop(*[c for c in PERIOD_COLUMNS if c in df.columns])
 
 
 class CatalogTables(Tables):
