@@ -100,13 +100,19 @@ def share_pct(part: Column | str, total: Column | str, digits: int | None = None
     return pct if digits is None else half_away(pct, digits)
 
 
+def _lookup(names: list[str], index0: Column) -> Column:
+    # ``get`` (0-based) returns NULL for a NULL index; ``element_at`` on a
+    # literal array returned the last element for a NULL index in tests.
+    return F.get(F.array(*[F.lit(n) for n in names]), index0)
+
+
 def month_name(ts: Column | str) -> Column:
     """English month name, independent of locale and session zone."""
-    return F.element_at(F.array(*[F.lit(n) for n in S.MONTH_NAMES]), F.month(_c(ts)))
+    return _lookup(S.MONTH_NAMES, F.month(_c(ts)) - F.lit(1))
 
 
 def day_name(ts: Column | str) -> Column:
-    return F.element_at(F.array(*[F.lit(n) for n in S.DAY_NAMES]), F.dayofweek(_c(ts)))
+    return _lookup(S.DAY_NAMES, F.dayofweek(_c(ts)) - F.lit(1))
 
 
 def is_weekend(ts: Column | str) -> Column:

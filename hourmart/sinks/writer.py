@@ -110,16 +110,19 @@ def build_warehouse(spark: SparkSession, source: Tables, base: str, period: str
     for name in S.RAW_TABLES:
         if name in wanted:
             counts[name] = write_table(source.table(name), stored.path(name), name, period)
-    # Downstream layers read the stored raw zone: lineage stops at the files.
-    layered = LayeredTables(spark, {n: stored.table(n) for n in S.RAW_TABLES})
+    # Each layer reads the stored layer below it: lineage stops at the files.
+    def from_store(names: list[str]) -> LayeredTables:
+        return LayeredTables(spark, {}, {n: (lambda n=n: stored.table(n)) for n in names})
+
+    layered = from_store(S.RAW_TABLES)
     for name in S.CLEANED_TABLES:
         if name in wanted:
             counts[name] = write_table(layered.table(name), stored.path(name), name, period)
-    cleaned = LayeredTables(spark, {n: stored.table(n) for n in S.RAW_TABLES + S.CLEANED_TABLES})
+    cleaned = from_store(S.RAW_TABLES + S.CLEANED_TABLES)
     for name in ["dim_date", "dim_city"]:
         if name in wanted:
             counts[name] = write_table(cleaned.table(name), stored.path(name), name, period)
-    star = LayeredTables(spark, {n: stored.table(n) for n in S.CLEANED_TABLES + ["dim_date", "dim_city"]})
+    star = from_store(S.CLEANED_TABLES + ["dim_date", "dim_city"])
     for name in ["fct_weather_hourly", "fct_prices_hourly", "fct_generation_hourly"]:
         if name in wanted:
             counts[name] = write_table(star.table(name), stored.path(name), name, period)

@@ -15,6 +15,8 @@ A query function takes a resolver and asks it for tables by name
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,14 +47,18 @@ class LayeredTables(Tables):
     a table twice shares one logical subtree (and one exchange at run time).
     """
 
-    def __init__(self, spark: SparkSession, raw: dict[str, DataFrame]):
+    def __init__(self, spark: SparkSession, raw: dict[str, DataFrame],
+                 loaders: dict[str, Callable[[], DataFrame]] | None = None):
         self.spark = spark
         self._cache: dict[str, DataFrame] = dict(raw)
+        self._loaders = dict(loaders or {})
 
     def table(self, name: str) -> DataFrame:
         if name in self._cache:
             return self._cache[name]
-        if name in C.BUILDERS:
+        if name in self._loaders:
+            df = self._loaders[name]()
+        elif name in C.BUILDERS:
             src, fn = C.BUILDERS[name]
             df = fn(self.table(src))
         elif name == "dim_date":

@@ -74,7 +74,7 @@ def raw_weather(lineitem: DataFrame, fold_year: bool = True) -> DataFrame:
     stations = stations_by_index()
 
     def pick(i: int) -> Column:
-        return F.element_at(F.array(*[F.lit(s[i]) for s in stations]), F.col("_station") + F.lit(1))
+        return F.get(F.array(*[F.lit(s[i]) for s in stations]), F.col("_station"))
 
     hi, lo = F.col("_cmax"), F.col("_cmin")
     return (lineitem

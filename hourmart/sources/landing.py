@@ -34,32 +34,32 @@ def city_attributes(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(S.CITIES, "city string, latitude double, longitude double")
 
 
-def weather_rows(docs: DataFrame) -> DataFrame:
+def weather_rows(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Weather responses (one row per response, parallel hourly arrays) ->
-    one row per hour and city with the raw_weather columns.
+    one row per hour and city with the raw_weather columns (plus ``keep``).
 
     ``arrays_zip`` + ``inline`` explode all arrays in step inside the task;
     a NULL element stays a NULL value, a shorter array pads with NULLs.
     """
     h = docs.select(
-        "city", "latitude", "longitude",
+        "city", "latitude", "longitude", *keep,
         F.col("hourly.time").alias("time"),
         F.col("hourly.shortwave_radiation").alias("shortwave_radiation"),
         F.col("hourly.windspeed_10m").alias("windspeed_10m"),
         F.col("hourly.temperature_2m").alias("temperature_2m"),
     )
-    rows = h.select("city", "latitude", "longitude",
+    rows = h.select("city", "latitude", "longitude", *keep,
                     F.inline(F.arrays_zip("time", "shortwave_radiation", "windspeed_10m", "temperature_2m")))
     return rows.select(
         parse_landing_time(F.col("time")).alias("timestamp"),
         F.col("shortwave_radiation").cast("double").alias("shortwave_radiation_wm2"),
         F.col("windspeed_10m").cast("double").alias("windspeed_10m_kmh"),
         F.col("temperature_2m").cast("double").alias("temperature_2m_c"),
-        "city", "latitude", "longitude",
+        "city", "latitude", "longitude", *keep,
     )
 
 
-def with_city_attributes(rows: DataFrame) -> DataFrame:
+def with_city_attributes(rows: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Fill missing coordinates from the fixed station list (ING-02).
 
     The station list is a constant of five rows, so it is broadcast; rows of
@@ -70,7 +70,7 @@ def with_city_attributes(rows: DataFrame) -> DataFrame:
     return (rows.join(cities, "city", "left")
             .withColumn("latitude", F.coalesce("latitude", "_lat"))
             .withColumn("longitude", F.coalesce("longitude", "_lon"))
-            .select(*[f.name for f in S.RAW_WEATHER.fields]))
+            .select(*[f.name for f in S.RAW_WEATHER.fields], *keep))
 
 
 def read_weather_landing(spark: SparkSession, path: str) -> DataFrame:
@@ -191,3 +191,16 @@ def dedupe_latest(df: DataFrame, keys: list[str], order_col: str) -> DataFrame:
 
 def all_present(cols: list[str]) -> Column:
     return reduce(and_, [F.col(c).isNotNull() for c in cols])
+
+
+def read_parquet_nanos(spark: SparkSession, path: str, ts_cols: list[str]) -> DataFrame:
+    """Read Parquet whose timestamps were written with nanosecond precision.
+
+    Spark has no nanosecond timestamp type; with
+    ``spark.sql.legacy.parquet.nanosAsLong`` the column arrives as epoch
+    nanoseconds (set on the session, because the scan reads the flag when it
+    runs) and :func:`nanos_to_ntz` turns it into a wall-clock timestamp.
+    """
+    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
+    df = spark.read.parquet(path)
+    return df.withColumns({c: nanos_to_ntz(F.col(c)) for c in ts_cols})
