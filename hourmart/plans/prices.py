@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hourmart import schemas as S
-from hourmart.functions.expr import half_away
+from hourmart.functions.expr import clip_lower, half_away
 from hourmart.plans.common import with_dates
 from hourmart.sources.catalog import Tables
 
@@ -27,6 +27,23 @@ def hourly_price_stats(t: Tables) -> DataFrame:
             .orderBy(F.col("hour").asc_nulls_last()))
 
 
+def hourly_price_band(t: Tables) -> DataFrame:
+    """AGG-07 as the hourly chart frame: mean line and a min-max band whose
+    lower edge is clipped at 0 (PRJ-27), plus the overall reference line
+    (AGG-19) on every row."""
+    h = hourly_price_stats(t)
+    ref = h.agg(half_away(F.avg("avg_price"), 6)).scalar()
+    return h.select("hour", "avg_price", clip_lower("min_price", 0.0).alias("band_low"),
+                    F.col("max_price").alias("band_high"), ref.alias("overall_avg_price"))
+
+
+def monthly_price_band(t: Tables) -> DataFrame:
+    """AGG-14 as the monthly chart frame: min clipped at 0 (PRJ-27)."""
+    m = monthly_prices(t)
+    return m.select("month", "month_name", "avg_price", clip_lower("min_price", 0.0).alias("band_low"),
+                    F.col("max_price").alias("band_high"))
+
+
 def season_hour_prices(t: Tables) -> DataFrame:
     """AGG-08: mean price per (season, hour) in long form."""
     return (_prices(t, "season", "hour").groupBy("season", "hour")

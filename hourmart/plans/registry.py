@@ -68,6 +68,8 @@ QUERIES: dict[str, QueryFn] = {
     "agg_17_price_by_renewable_bucket": COR.price_by_renewable_bucket,
     "agg_18_daily_radiation": WX.daily_radiation,
     "agg_19_hourly_reference_line": PR.hourly_reference_line,
+    "prj_27_hourly_price_band": PR.hourly_price_band,
+    "prj_27_monthly_price_band": PR.monthly_price_band,
     # joins
     "joi_08_price_renewable_pairs": COR.price_renewable_pairs,
     "joi_09_price_renewable_detail": COR.price_renewable_detail,
@@ -101,6 +103,7 @@ QUERIES: dict[str, QueryFn] = {
     "src_05_weather_landing_roundtrip": ING.weather_landing_roundtrip,
     "ing_10_generation_long_to_wide": ING.generation_long_to_wide,
     "ing_04_prices_utc_to_local": ING.prices_utc_to_local,
+    "ing_05_prices_in_request_range": ING.prices_in_request_range,
 }
 
 FLAGSHIP = "agg_06_seasonal_flagship"

@@ -204,3 +204,16 @@ def read_parquet_nanos(spark: SparkSession, path: str, ts_cols: list[str]) -> Da
     spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
     df = spark.read.parquet(path)
     return df.withColumns({c: nanos_to_ntz(F.col(c)) for c in ts_cols})
+
+
+def restrict_range(df: DataFrame, start: str, end: str, ts_col: str = "timestamp") -> DataFrame:
+    """Keep rows with ``start <= ts <= end`` on the local wall clock (ING-05).
+
+    Bounds are local-time strings (``'2024-01-01'`` or ``'2024-12-31 00:00'``)
+    compared as NTZ values, so the filter is pushed to the Parquet scan as a
+    plain range and never shifts with the session zone. The end bound is
+    inclusive, as in the feed requests.
+    """
+    lo = F.lit(start).cast("timestamp_ntz")
+    hi = F.lit(end).cast("timestamp_ntz")
+    return df.where(F.col(ts_col).between(lo, hi))

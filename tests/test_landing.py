@@ -108,3 +108,10 @@ def test_dedupe_latest(spark):
     df = spark.createDataFrame([(1, "a", 1), (1, "b", 3), (2, "c", 2), (1, "d", 2)], "k int, v string, o int")
     got = {r.k: r.v for r in L.dedupe_latest(df, ["k"], "o").collect()}
     assert got == {1: "b", 2: "c"}
+
+
+def test_restrict_range_inclusive_end(spark):
+    df = spark.createDataFrame([(datetime(2023, 12, 31, 23),), (datetime(2024, 1, 1, 0),),
+                                (datetime(2024, 12, 31, 0),), (datetime(2024, 12, 31, 1),)], "timestamp timestamp_ntz")
+    got = [r.timestamp for r in L.restrict_range(df, "2024-01-01", "2024-12-31 00:00:00").collect()]
+    assert got == [datetime(2024, 1, 1, 0), datetime(2024, 12, 31, 0)]
