@@ -160,3 +160,13 @@ def utc_to_local(ts_utc: Column | str, zone: str = S.MARKET_TIME_ZONE) -> Column
 def local_hour_slot(base: str, hours: Column) -> Column:
     """NTZ timestamp ``base`` plus a whole number of hours."""
     return F.lit(base).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), hours.cast("int"))
+
+
+def literal_table(spark, rows: list[tuple], names: list[str]):
+    """A small fixed table built JVM-side (``inline`` over literal structs).
+
+    Unlike ``createDataFrame`` from a Python list, no Python RDD and no
+    Python worker are involved; the plan is a one-row range plus a generator.
+    """
+    structs = [F.struct(*[F.lit(v).alias(n) for v, n in zip(r, names)]) for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))

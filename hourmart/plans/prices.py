@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hourmart import schemas as S
-from hourmart.functions.expr import clip_lower, half_away
+from hourmart.functions.expr import clip_lower, half_away, literal_table
 from hourmart.plans.common import with_dates
 from hourmart.sources.catalog import Tables
 
@@ -114,8 +114,7 @@ def price_heatmap(t: Tables) -> DataFrame:
     long = season_hour_prices(t)
     wide = (long.groupBy("season").pivot("hour", list(range(24))).agg(F.max("avg_price")))
     wide = wide.select("season", *[F.col(f"`{h}`").alias(f"hour_{h}") for h in range(24)])
-    order = spark.createDataFrame([(i, s) for i, s in enumerate(S.SEASON_ORDER)],
-                                  "season_order int, season string")
+    order = literal_table(spark, list(enumerate(S.SEASON_ORDER)), ["season_order", "season"])
     return (order.join(wide, "season", "left")
             .orderBy("season_order")
             .drop("season_order"))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hourmart import schemas as S
+from hourmart.functions.expr import literal_table
 from hourmart.functions.stats import column_means, describe, null_counts
 from hourmart.plans.common import DEFAULT_CITY
 from hourmart.sources.catalog import Tables
@@ -92,8 +93,7 @@ def table_shape(t: Tables, name: str = "raw_weather") -> DataFrame:
     """STA-12: row count, and name / type / position of every column."""
     df = t.table(name)
     n_rows = df.agg(F.count(F.lit(1)).cast("long")).scalar()
-    cols = t.spark.createDataFrame(
-        [(i + 1, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)],
-        "ordinal int, column_name string, data_type string")
+    cols = literal_table(t.spark, [(i + 1, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)],
+                         ["ordinal", "column_name", "data_type"])
     return cols.select(F.lit(name).alias("table_name"), "ordinal", "column_name", "data_type",
                        n_rows.alias("n_rows"))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hourmart import schemas as S
-from hourmart.functions.expr import utc_to_local
+from hourmart.functions.expr import literal_table, utc_to_local
 
 LANDING_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm"
 
@@ -31,7 +31,7 @@ def format_landing_time(ts: Column) -> Column:
 
 def city_attributes(spark: SparkSession) -> DataFrame:
     """The fixed station list as a DataFrame (5 rows; safe to broadcast)."""
-    return spark.createDataFrame(S.CITIES, "city string, latitude double, longitude double")
+    return literal_table(spark, S.CITIES, ["city", "latitude", "longitude"])
 
 
 def weather_rows(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -22,7 +22,7 @@ from __future__ import annotations
 import os
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -54,8 +54,11 @@ def merge_into_partitions(new_rows: DataFrame, path: str, table: str, keys: list
     new = with_period(new_rows.withColumn(order_col, F.col(order_col).cast("long")), table, period)
     existing = _read_existing(spark, path)
     if existing is not None:
-        touched = new.select(pcol).distinct()
-        old = (existing.join(touched, pcol, "left_semi")
+        # The periods in a batch are few (a day's load touches one or two):
+        # their values go into a literal IN filter, so the scan of the
+        # existing table is pruned to exactly those partition folders.
+        touched = [r[0] for r in new.select(pcol).distinct().collect()]
+        old = (existing.where(F.col(pcol).isin(touched))
                .withColumn(order_col, F.lit(-1).cast("long")))
         both = old.unionByName(new.select(*old.columns))
     else:
@@ -63,12 +66,13 @@ def merge_into_partitions(new_rows: DataFrame, path: str, table: str, keys: list
     merged = dedupe_latest(both, keys + [pcol], order_col).drop(order_col)
     # Reliable checkpoint: the overwrite below must not read the partitions it replaces.
     merged = merged.checkpoint(eager=True)
-    n = merged.count()
+    obs = Observation("merged_rows")
     (merged.repartitionByRange(*[F.col(k).asc_nulls_last() for k in keys])
      .sortWithinPartitions(*keys)
+     .observe(obs, F.count(F.lit(1)).alias("rows"))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(pcol).parquet(path))
-    return n
+    return int(obs.get["rows"])
 
 
 def weather_batch_rows(docs: DataFrame) -> DataFrame:
@@ -76,14 +80,20 @@ def weather_batch_rows(docs: DataFrame) -> DataFrame:
     return with_city_attributes(weather_rows(docs, keep=(ORDER_COL,)), keep=(ORDER_COL,))
 
 
-def load_weather_files(spark: SparkSession, landing_path: str, table_path: str, period: str = "date") -> int:
-    """Batch form of the refresh: merge the files at ``landing_path`` now."""
-    docs = _landing_reader(spark.read).json(landing_path).select("*", _landed_at())
+def load_weather_files(spark: SparkSession, landing_path: str, table_path: str, period: str = "date",
+                       multi_line: bool = True) -> int:
+    """Batch form of the refresh: merge the files at ``landing_path`` now.
+
+    ``multi_line=True`` reads one response object per file (as an API call
+    lands it); ``False`` reads JSON lines (one response per line).
+    """
+    docs = _landing_reader(spark.read, multi_line).json(landing_path).select("*", _landed_at())
     return merge_into_partitions(weather_batch_rows(docs), table_path, "raw_weather", WEATHER_KEYS, period)
 
 
-def _landing_reader(reader):
-    return reader.schema(S.WEATHER_LANDING).option("multiLine", "true").option("mode", "FAILFAST")
+def _landing_reader(reader, multi_line: bool = True):
+    return (reader.schema(S.WEATHER_LANDING).option("multiLine", "true" if multi_line else "false")
+            .option("mode", "FAILFAST"))
 
 
 def _landed_at():
@@ -91,9 +101,10 @@ def _landed_at():
 
 
 def start_weather_refresh(spark: SparkSession, landing_dir: str, table_path: str, checkpoint_location: str,
-                          period: str = "date", available_now: bool = True) -> StreamingQuery:
+                          period: str = "date", available_now: bool = True,
+                          multi_line: bool = True) -> StreamingQuery:
     """Start the refresh stream; with ``available_now`` it stops when caught up."""
-    docs = _landing_reader(spark.readStream).json(landing_dir).select("*", _landed_at())
+    docs = _landing_reader(spark.readStream, multi_line).json(landing_dir).select("*", _landed_at())
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
         merge_into_partitions(weather_batch_rows(batch), table_path, "raw_weather", WEATHER_KEYS, period)

@@ -51,3 +51,24 @@ def test_external_tables_in_catalog(spark, scratch):
     stored = StoredTables(spark, base)
     key = "agg_07_hourly_price_stats"
     assert _rows(QUERIES[key](cat)) == _rows(QUERIES[key](stored))
+
+
+def test_bucketed_star_joins_without_exchange(spark, scratch):
+    from hourmart.sinks.writer import save_star_as_bucketed_tables
+    from test_plans import plan_text
+
+    save_star_as_bucketed_tables(spark, DerivedTables(spark, SF_SMALL), "hourmart_bucketed", scratch, buckets=8)
+    cat = CatalogTables(spark, "hourmart_bucketed")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # force the large-table strategy
+    try:
+        df = QUERIES["joi_08_price_renewable_pairs"](cat)
+        text = plan_text(df, "simple")
+        assert "SortMergeJoin" in text
+        assert "Exchange hashpartitioning" not in text  # both sides read bucket-aligned
+        derived = DerivedTables(spark, SF_SMALL)
+        assert _rows(df) == _rows(QUERIES["joi_08_price_renewable_pairs"](derived))
+        four_way = plan_text(QUERIES["agg_09_seasonal_summary"](cat), "simple")
+        assert four_way.count("Exchange hashpartitioning(date_key") == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
