@@ -24,6 +24,7 @@ import os
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from hourmart import schemas as S
@@ -34,10 +35,20 @@ ORDER_COL = "_landed_at"
 WEATHER_KEYS = ["timestamp", "city"]
 
 
-def _read_existing(spark: SparkSession, path: str) -> DataFrame | None:
+def _read_partitions(spark: SparkSession, path: str, pcol: str, values: list, schema) -> DataFrame | None:
+    """Rows of the existing table in the given period partitions only.
+
+    The folders are named directly (one brace glob), so neither the other
+    partitions nor the table's full folder list is ever touched; the
+    declared schema spares the footer reads. None when none exist yet.
+    """
+    if not values:
+        return None
+    names = ",".join(str(v) for v in values)
     try:
-        return spark.read.parquet(path)
-    except AnalysisException as e:  # the first load creates the table
+        return (spark.read.schema(schema).option("basePath", path)
+                .parquet(f"{path.rstrip('/')}/{pcol}={{{names}}}"))
+    except AnalysisException as e:  # first load of these periods
         if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
             return None
         raise
@@ -52,14 +63,13 @@ def merge_into_partitions(new_rows: DataFrame, path: str, table: str, keys: list
     spark = new_rows.sparkSession
     pcol = partition_column(table, period)
     new = with_period(new_rows.withColumn(order_col, F.col(order_col).cast("long")), table, period)
-    existing = _read_existing(spark, path)
+    # The periods in a batch are few (a day's load touches one or two): only
+    # those partition folders of the existing table are read and replaced.
+    touched = [r[0] for r in new.select(pcol).distinct().collect()]
+    schema = T.StructType([f for f in new.schema.fields if f.name != order_col])
+    existing = _read_partitions(spark, path, pcol, touched, schema)
     if existing is not None:
-        # The periods in a batch are few (a day's load touches one or two):
-        # their values go into a literal IN filter, so the scan of the
-        # existing table is pruned to exactly those partition folders.
-        touched = [r[0] for r in new.select(pcol).distinct().collect()]
-        old = (existing.where(F.col(pcol).isin(touched))
-               .withColumn(order_col, F.lit(-1).cast("long")))
+        old = existing.withColumn(order_col, F.lit(-1).cast("long"))
         both = old.unionByName(new.select(*old.columns))
     else:
         both = new
@@ -67,7 +77,9 @@ def merge_into_partitions(new_rows: DataFrame, path: str, table: str, keys: list
     # Reliable checkpoint: the overwrite below must not read the partitions it replaces.
     merged = merged.checkpoint(eager=True)
     obs = Observation("merged_rows")
-    (merged.repartitionByRange(*[F.col(k).asc_nulls_last() for k in keys])
+    # A batch touches one or two periods: hash on the keys spreads them over
+    # tasks (AQE merges small ones), with no sampling job as a range split needs.
+    (merged.repartition(*keys)
      .sortWithinPartitions(*keys)
      .observe(obs, F.count(F.lit(1)).alias("rows"))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
