@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,41 +52,90 @@ def column_means(df: DataFrame, columns: list[str] | None = None, digits: int =
             .orderBy(F.col(value_col).desc_nulls_last(), F.col(name_col)))
 
 
-def describe_aggs(col: Column | str, exact: bool = True, accuracy: int = 100000) -> list[Column]:
-    """count, mean, std (sample), min, 25/50/75 % quantiles, max of one column.
+def exact_quantiles(df: DataFrame, column: str, probs: list[float], buckets: int = 1024) -> DataFrame:
+    """Exact quantiles (linear interpolation between order statistics, the
+    ``quantile_cont`` / pandas rule) computed without one task seeing all values.
 
-    ``exact`` uses linear interpolation between order statistics (the pandas
-    and SQL ``quantile_cont`` rule). It keeps a value -> count map per group,
-    so its memory grows with the number of distinct values; for very large
-    inputs pass ``exact=False`` to use the bounded-memory approximate sketch.
+    1. count rows per distinct value (partial aggregation: a hot value is one
+       row per task, not a skewed group);
+    2. split the value range into ``buckets`` equal-width buckets and count
+       rows per bucket (at most ``buckets`` rows);
+    3. turn bucket counts into rank offsets (a window over at most
+       ``buckets`` rows) and broadcast them, a size fixed by the parameter;
+    4. a running sum per bucket gives every distinct value its rank span;
+    5. one conditional aggregate picks the values at the two ranks around
+       each target position and interpolates.
+
+    Output: one row, one ``double`` column per probability (``q0``, ``q1``...).
     """
+    v = df.select(F.col(f"`{column}`").cast("double").alias("v")).where(_present(F.col("v")))
+    counts = v.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
+    # the three bounds in one scalar subquery, attached once as a column
+    bounds = counts.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi"),
+                                 F.sum("c").alias("n")).alias("s")).scalar()
+    with_bounds = counts.withColumn("_s", bounds)
+    lo, hi, n = F.col("_s.lo"), F.col("_s.hi"), F.col("_s.n")
+    width = (hi - lo) / F.lit(float(buckets))
+    b = F.when(width > F.lit(0.0),
+               F.least(F.floor((F.col("v") - lo) / width), F.lit(buckets - 1))).otherwise(F.lit(0)).cast("int")
+    counts_b = with_bounds.withColumn("b", b)
+    offsets = (counts_b.groupBy("b").agg(F.sum("c").alias("bc"))
+               .withColumn("off", F.coalesce(F.sum("bc").over(
+                   Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+               .select("b", "off"))
+    ranked = (counts_b.join(F.broadcast(offsets), "b")
+              .withColumn("end", F.col("off") + F.sum("c").over(
+                  Window.partitionBy("b").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)))
+              .withColumn("start", F.col("end") - F.col("c")))
+
+    def value_at(rank: Column) -> Column:
+        return F.max(F.when((F.col("start") <= rank) & (rank < F.col("end")), F.col("v")))
+
+    aggs, outs = [], []
+    for i, p in enumerate(probs):
+        pos = (n - F.lit(1)).cast("double") * F.lit(float(p))
+        aggs += [value_at(F.floor(pos)).alias(f"_lo{i}"), value_at(F.ceil(pos)).alias(f"_hi{i}"),
+                 F.first(pos - F.floor(pos)).alias(f"_d{i}")]
+        outs.append((F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_d{i}")).alias(f"q{i}"))
+    return ranked.agg(*aggs).select(*outs)
+
+
+def describe_aggs(col: Column | str) -> list[Column]:
+    """count, mean, sample std, min, max of one column (one partial aggregate)."""
     c = _c(col).cast("double")
-    probs = [0.25, 0.5, 0.75]
-    if exact:
-        q = F.percentile(c, F.array(*[F.lit(p) for p in probs]))
-    else:
-        q = F.percentile_approx(c, F.array(*[F.lit(p) for p in probs]), accuracy).cast("array<double>")
     return [
         F.count(c).alias("count"),
         F.avg(c).alias("mean"),
         F.stddev_samp(c).alias("std"),
         F.min(c).alias("min"),
-        q.alias("_q"),
         F.max(c).alias("max"),
     ]
 
 
-def describe(df: DataFrame, column: str, digits: int = 2, exact: bool = True) -> DataFrame:
-    """One-row summary of ``column`` with the columns of pandas ``describe``."""
-    agg = df.agg(*describe_aggs(F.col(f"`{column}`"), exact=exact))
+def describe(df: DataFrame, column: str, digits: int = 2, exact: bool = True, accuracy: int = 100000) -> DataFrame:
+    """One-row summary of ``column`` with the columns of pandas ``describe``.
+
+    Quartiles are exact (:func:`exact_quantiles`) or, with ``exact=False``,
+    from the fixed-memory ``percentile_approx`` sketch.
+    """
+    probs = [0.25, 0.5, 0.75]
+    col = F.col(f"`{column}`")
+    if exact:
+        qs = exact_quantiles(df, column, probs)
+        packed = qs.select(F.array(*[f"q{i}" for i in range(len(probs))])).scalar()
+    else:
+        packed = df.agg(F.percentile_approx(col.cast("double"), F.array(*[F.lit(p) for p in probs]),
+                                            accuracy).cast("array<double>")).scalar()
+    agg = df.agg(*describe_aggs(col)).withColumn("_q", packed)  # the subquery runs once
+    q = [F.col("_q")[i] for i in range(len(probs))]
     return agg.select(
         F.lit(column).alias("column_name"),
         F.col("count").cast("long").alias("count"),
         half_away("mean", digits).alias("mean"),
         half_away("std", digits).alias("std"),
         half_away("min", digits).alias("min"),
-        half_away(F.col("_q")[0], digits).alias("p25"),
-        half_away(F.col("_q")[1], digits).alias("p50"),
-        half_away(F.col("_q")[2], digits).alias("p75"),
+        half_away(q[0], digits).alias("p25"),
+        half_away(q[1], digits).alias("p50"),
+        half_away(q[2], digits).alias("p75"),
         half_away("max", digits).alias("max"),
     )

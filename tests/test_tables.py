@@ -150,3 +150,24 @@ def test_price_categories_add_up(spark):
     counts = {r.price_category: r["count"] for r in c.groupBy("price_category").count().collect()}
     assert sum(counts.values()) == len(p) and counts["Negative"] == 2 and counts["Very High"] == 2
     assert c.where(F.col("is_negative_price")).count() == 2
+
+
+def test_exact_quantiles_match_sql_quantile_cont(spark):
+    import duckdb
+    import numpy as np
+
+    from hourmart.functions.stats import exact_quantiles
+
+    rng = np.random.default_rng(11)
+    vals = list(np.round(rng.gamma(2.0, 30.0, size=4000), 2)) + [5.0] * 1500 + [None, float("nan")]
+    df = spark.createDataFrame([(None if v is None else float(v),) for v in vals], "x double")
+    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
+    got = list(exact_quantiles(df, "x", probs, buckets=16).first())
+    clean = [float(v) for v in vals if v is not None and v == v]
+    want = duckdb.execute(f"SELECT [{', '.join(f'quantile_cont(x, {p})' for p in probs)}] FROM "
+                          f"(SELECT UNNEST(CAST(? AS DOUBLE[])) AS x)", [clean]).fetchall()[0][0]
+    assert got == want
+    one = exact_quantiles(spark.createDataFrame([(3.0,)], "x double"), "x", [0.25, 0.5]).first()
+    assert list(one) == [3.0, 3.0]
+    empty = exact_quantiles(spark.createDataFrame([], "x double"), "x", [0.5]).first()
+    assert list(empty) == [None]
