@@ -58,8 +58,10 @@ def exact_quantiles(df: DataFrame, column: str, probs: list[float], buckets: int
 
     1. count rows per distinct value (partial aggregation: a hot value is one
        row per task, not a skewed group);
-    2. split the value range into ``buckets`` equal-width buckets and count
-       rows per bucket (at most ``buckets`` rows);
+    2. split the range of ``sign(v) * log1p(|v|)`` into ``buckets``
+       equal-width buckets (a monotone map, so bucket order is value order;
+       the log keeps a far outlier from pushing every other value into one
+       bucket) and count rows per bucket (at most ``buckets`` rows);
     3. turn bucket counts into rank offsets (a window over at most
        ``buckets`` rows) and broadcast them, a size fixed by the parameter;
     4. a running sum per bucket gives every distinct value its rank span;
@@ -69,15 +71,16 @@ def exact_quantiles(df: DataFrame, column: str, probs: list[float], buckets: int
     Output: one row, one ``double`` column per probability (``q0``, ``q1``...).
     """
     v = df.select(F.col(f"`{column}`").cast("double").alias("v")).where(_present(F.col("v")))
-    counts = v.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
+    counts = v.groupBy("v").agg(F.count(F.lit(1)).alias("c")) \
+        .withColumn("u", F.signum("v") * F.log1p(F.abs("v")))
     # the three bounds in one scalar subquery, attached once as a column
-    bounds = counts.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi"),
+    bounds = counts.agg(F.struct(F.min("u").alias("lo"), F.max("u").alias("hi"),
                                  F.sum("c").alias("n")).alias("s")).scalar()
     with_bounds = counts.withColumn("_s", bounds)
     lo, hi, n = F.col("_s.lo"), F.col("_s.hi"), F.col("_s.n")
     width = (hi - lo) / F.lit(float(buckets))
     b = F.when(width > F.lit(0.0),
-               F.least(F.floor((F.col("v") - lo) / width), F.lit(buckets - 1))).otherwise(F.lit(0)).cast("int")
+               F.least(F.floor((F.col("u") - lo) / width), F.lit(buckets - 1))).otherwise(F.lit(0)).cast("int")
     counts_b = with_bounds.withColumn("b", b)
     offsets = (counts_b.groupBy("b").agg(F.sum("c").alias("bc"))
                .withColumn("off", F.coalesce(F.sum("bc").over(

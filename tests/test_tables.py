@@ -159,7 +159,8 @@ def test_exact_quantiles_match_sql_quantile_cont(spark):
     from hourmart.functions.stats import exact_quantiles
 
     rng = np.random.default_rng(11)
-    vals = list(np.round(rng.gamma(2.0, 30.0, size=4000), 2)) + [5.0] * 1500 + [None, float("nan")]
+    vals = (list(np.round(rng.gamma(2.0, 30.0, size=4000), 2)) + list(np.round(-rng.gamma(1.0, 3.0, size=300), 3))
+            + [5.0] * 1500 + [0.0, -0.0, 1e9, None, float("nan")])
     df = spark.createDataFrame([(None if v is None else float(v),) for v in vals], "x double")
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
     got = list(exact_quantiles(df, "x", probs, buckets=16).first())
