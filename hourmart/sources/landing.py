@@ -41,12 +41,17 @@ def weather_rows(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     ``arrays_zip`` + ``inline`` explode all arrays in step inside the task;
     a NULL element stays a NULL value, a shorter array pads with NULLs.
     """
+    def arr(field: str, elem: str) -> Column:
+        # a variable the response does not carry is an empty array, not NULL:
+        # arrays_zip of a NULL array would drop the whole response
+        return F.coalesce(F.col(f"hourly.{field}"), F.array().cast(f"array<{elem}>")).alias(field)
+
     h = docs.select(
         "city", "latitude", "longitude", *keep,
-        F.col("hourly.time").alias("time"),
-        F.col("hourly.shortwave_radiation").alias("shortwave_radiation"),
-        F.col("hourly.windspeed_10m").alias("windspeed_10m"),
-        F.col("hourly.temperature_2m").alias("temperature_2m"),
+        arr("time", "string"),
+        arr("shortwave_radiation", "double"),
+        arr("windspeed_10m", "double"),
+        arr("temperature_2m", "double"),
     )
     rows = h.select("city", "latitude", "longitude", *keep,
                     F.inline(F.arrays_zip("time", "shortwave_radiation", "windspeed_10m", "temperature_2m")))

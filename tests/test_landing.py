@@ -115,3 +115,14 @@ def test_restrict_range_inclusive_end(spark):
                                 (datetime(2024, 12, 31, 0),), (datetime(2024, 12, 31, 1),)], "timestamp timestamp_ntz")
     got = [r.timestamp for r in L.restrict_range(df, "2024-01-01", "2024-12-31 00:00:00").collect()]
     assert got == [datetime(2024, 1, 1, 0), datetime(2024, 12, 31, 0)]
+
+
+def test_single_variable_response(spark, scratch):
+    land = os.path.join(scratch, "landing")
+    os.makedirs(land)
+    with open(os.path.join(land, "sofia.json"), "w") as f:
+        json.dump({"city": "Sofia", "hourly": {"time": ["2024-01-01T11:00", "2024-01-01T12:00"],
+                                               "shortwave_radiation": [120.0, 180.0]}}, f)
+    rows = L.read_weather_landing(spark, land).orderBy("timestamp").collect()
+    assert [(r.shortwave_radiation_wm2, r.windspeed_10m_kmh, r.temperature_2m_c) for r in rows] == \
+        [(120.0, None, None), (180.0, None, None)]
