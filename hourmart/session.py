@@ -59,3 +59,31 @@ def shared_dir(spark: SparkSession, fallback: str | None = None) -> str:
         spark.conf.set("spark.checkpoint.dir", fallback)
         d = fallback
     return d.rstrip("/")
+
+
+def scale_conf(input_bytes: float, executors: int, cores_per_executor: int,
+               target_partition_bytes: int = 256 * 1024 ** 2) -> dict[str, str]:
+    """Partition sizing for a cluster run (pass the result as ``conf``).
+
+    * scans split files into ``target_partition_bytes`` pieces;
+    * the initial shuffle width gives every shuffle at least one target-sized
+      partition per ``target_partition_bytes`` of input (and at least three
+      waves of tasks); AQE then merges partitions down to the advisory size
+      and splits skewed ones (a key with a third of the rows is cut into
+      advisory-sized pieces instead of landing in one task);
+    * broadcasting stays behind a measured-size threshold, so a side is only
+      broadcast when it is known to be small.
+    """
+    slots = max(1, executors * cores_per_executor)
+    initial = max(3 * slots, int(input_bytes // target_partition_bytes) + 1)
+    size = str(target_partition_bytes)
+    return {
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 ** 2),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 ** 2),
+    }

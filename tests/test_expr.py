@@ -135,3 +135,12 @@ def test_share_pct_zero_total_is_null(spark):
     got = [r.p for r in df.select(X.share_pct("a", "t", 2).alias("p")).collect()]
     assert got == [None, 25.0, None]
     assert math.isclose(df.select(X.share_pct("a", "t").alias("p")).collect()[1].p, 25.0)
+
+
+def test_scale_conf_sizes_partitions():
+    from hourmart.session import scale_conf
+
+    c = scale_conf(100 * 1024 ** 4, executors=1000, cores_per_executor=8)
+    assert int(c["spark.sql.shuffle.partitions"]) == 100 * 1024 ** 4 // (256 * 1024 ** 2) + 1
+    small = scale_conf(10 * 1024 ** 2, executors=2, cores_per_executor=4)
+    assert small["spark.sql.shuffle.partitions"] == "24"
