@@ -105,15 +105,16 @@ def most_volatile_hour(t: Tables) -> DataFrame:
 def price_heatmap(t: Tables) -> DataFrame:
     """RSH-01 + RSH-02: season x hour matrix of mean price.
 
-    Pivot with the 24 hours listed explicitly (no extra job to find them),
-    then reindex to Winter, Spring, Summer, Autumn: a season without data
-    gives a row of NULLs, a row outside the list is dropped. The pivoted
-    input has at most one row per season, so the reindex join is tiny.
+    Pivot over the 24 listed hours as one conditional aggregate (no job to
+    find the values, one shuffle), then reindex to Winter, Spring, Summer,
+    Autumn: a season without data gives a row of NULLs, a row outside the
+    list is dropped. The pivoted input has at most one row per season, so
+    the reindex join is tiny.
     """
     spark = t.spark
     long = season_hour_prices(t)
-    wide = (long.groupBy("season").pivot("hour", list(range(24))).agg(F.max("avg_price")))
-    wide = wide.select("season", *[F.col(f"`{h}`").alias(f"hour_{h}") for h in range(24)])
+    wide = long.groupBy("season").agg(
+        *[F.max(F.when(F.col("hour") == F.lit(h), F.col("avg_price"))).alias(f"hour_{h}") for h in range(24)])
     order = literal_table(spark, list(enumerate(S.SEASON_ORDER)), ["season_order", "season"])
     return (order.join(wide, "season", "left")
             .orderBy("season_order")

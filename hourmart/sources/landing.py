@@ -136,12 +136,15 @@ def generation_long(raw_generation: DataFrame) -> DataFrame:
 def generation_wide(long: DataFrame) -> DataFrame:
     """(timestamp, country, source, mw) -> one column per source (ING-10).
 
-    The 11 source names are listed, so the pivot needs no extra job to find
-    them and an absent source is a NULL column, not a missing one.
+    A pivot over the 11 listed sources written as one conditional aggregate:
+    no job to discover the values, an absent source is a NULL column, and a
+    single shuffle of partially aggregated wide rows (``pivot`` would first
+    shuffle the long rows by (timestamp, country, source), then again).
     """
     names = [src for src, _ in S.GENERATION_SOURCES]
-    wide = long.groupBy("timestamp", "country").pivot("source", names).agg(F.max("mw"))
-    return wide.select("timestamp", *[F.col(f"`{n}`").cast("double").alias(n) for n in names], "country")
+    wide = long.groupBy("timestamp", "country").agg(
+        *[F.max(F.when(F.col("source") == F.lit(n), F.col("mw"))).cast("double").alias(n) for n in names])
+    return wide.select("timestamp", *[F.col(f"`{n}`") for n in names], "country")
 
 
 def flatten_headers(df: DataFrame, sep: str = "_") -> DataFrame:
