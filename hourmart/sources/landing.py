@@ -6,9 +6,6 @@ and these readers turn them into raw-table rows inside Spark.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -197,9 +194,6 @@ def dedupe_latest(df: DataFrame, keys: list[str], order_col: str) -> DataFrame:
     return out.select(*keys, *[F.col(f"_b.`{c}`").alias(c) for c in others]).select(*df.columns)
 
 
-def all_present(cols: list[str]) -> Column:
-    return reduce(and_, [F.col(c).isNotNull() for c in cols])
-
 
 def read_parquet_nanos(spark: SparkSession, path: str, ts_cols: list[str]) -> DataFrame:
     """Read Parquet whose timestamps were written with nanosecond precision.

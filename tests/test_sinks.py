@@ -72,3 +72,17 @@ def test_bucketed_star_joins_without_exchange(spark, scratch):
         assert four_way.count("Exchange hashpartitioning(date_key") == 0
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_raw_write_and_declared_schema_read(spark, scratch):
+    from hourmart.sinks.writer import write_raw
+    from hourmart.sources.landing import read_raw_parquet
+
+    derived = DerivedTables(spark, SF_SMALL)
+    for name in S.RAW_TABLES:
+        path = os.path.join(scratch, name)
+        n = write_raw(derived.table(name), path, name)
+        back = read_raw_parquet(spark, path, name)
+        assert [f.name for f in back.schema.fields][: len(S.RAW_SCHEMAS[name].fields)] == \
+            [f.name for f in S.RAW_SCHEMAS[name].fields]
+        assert back.count() == n == derived.table(name).count()
