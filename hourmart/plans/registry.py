@@ -81,6 +81,10 @@ QUERIES: dict[str, QueryFn] = {
     "sta_04_wind_pairs": COR.wind_pairs,
     "sta_04_corr_wind": COR.corr_wind,
     "sta_05_negative_price_share": COR.negative_price_share,
+    # the dashboard's city selector (FIL-06) with another station
+    "fil_06_corr_solar_plovdiv": lambda t: COR.corr_solar(t, city="Plovdiv"),
+    "fil_06_wind_pairs_varna": lambda t: COR.wind_pairs(t, city="Varna"),
+    "fil_06_city_weather_kpis_burgas": lambda t: WX.city_weather_kpis(t, city="Burgas"),
     "sta_06_describe_prices": PF.describe_prices,
     "sta_06_describe_city_radiation": PF.describe_city_radiation,
     "sta_07_generation_null_counts": PF.generation_null_counts,

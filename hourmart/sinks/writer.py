@@ -79,14 +79,18 @@ def with_period(df: DataFrame, table: str, period: str) -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str, table: str, period: str = "year",
-                mode: str = "overwrite") -> int:
+                mode: str = "overwrite", replace: str = "all") -> int:
     """Write one table and return its row count (counted during the write).
 
     Range-partitioning on the sort key spreads every period over several
     tasks (a hash on the period would put a whole year in one task); AQE
-    sizes the number of ranges from the measured data. Dynamic partition
-    overwrite replaces only the periods present in ``df``.
+    sizes the number of ranges from the measured data. ``replace="all"``
+    replaces the whole table (a full build: a period gone from the source is
+    gone from the table); ``replace="periods"`` replaces only the periods
+    present in ``df`` (dynamic partition overwrite).
     """
+    if replace not in ("all", "periods"):
+        raise ValueError("replace must be 'all' or 'periods'")
     src, sort_cols = LAYOUT[table]
     obs = Observation(f"rows_{table}")
     out = (with_period(df, table, period)
@@ -94,7 +98,7 @@ def write_table(df: DataFrame, path: str, table: str, period: str = "year",
            .sortWithinPartitions(*sort_cols)
            # observed above the exchange: the range sampler's job must not count
            .observe(obs, F.count(F.lit(1)).alias("rows")))
-    w = out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    w = out.write.mode(mode).option("partitionOverwriteMode", "dynamic" if replace == "periods" else "static")
     pcol = partition_column(table, period)
     if pcol:
         w = w.partitionBy(pcol)

@@ -86,3 +86,18 @@ def test_raw_write_and_declared_schema_read(spark, scratch):
         assert [f.name for f in back.schema.fields][: len(S.RAW_SCHEMAS[name].fields)] == \
             [f.name for f in S.RAW_SCHEMAS[name].fields]
         assert back.count() == n == derived.table(name).count()
+
+
+def test_full_build_replaces_periods_refresh_keeps_them(spark, scratch):
+    from datetime import datetime
+
+    from hourmart.sinks.writer import write_table
+
+    path = os.path.join(scratch, "prices")
+    rows = lambda years: spark.createDataFrame(
+        [(datetime(y, 1, 1), 1.0, "Bulgaria", "EUR", "MWh") for y in years], S.RAW_PRICES)
+    write_table(rows([2023, 2024]), path, "raw_prices")
+    write_table(rows([2024]), path, "raw_prices")                      # full build: 2023 is gone
+    assert sorted(r.p_year for r in spark.read.parquet(path).collect()) == [2024]
+    write_table(rows([2025]), path, "raw_prices", replace="periods")   # refresh: 2024 stays
+    assert sorted(r.p_year for r in spark.read.parquet(path).collect()) == [2024, 2025]
