@@ -103,7 +103,12 @@ def write_table(df: DataFrame, path: str, table: str, period: str = "year",
     if pcol:
         w = w.partitionBy(pcol)
     w.parquet(path)
-    return int(obs.get["rows"])
+    rows = int(obs.get["rows"])
+    if rows == 0 and pcol and replace == "all":
+        # a partitioned write of no rows leaves no file to read the schema from:
+        # keep one empty file that carries it
+        with_period(df, table, period).limit(0).write.mode("overwrite").parquet(path)
+    return rows
 
 
 def _write_zone(jobs: list[tuple[str, DataFrame, str]], period: str, parallel: int) -> dict[str, int]:
@@ -120,10 +125,29 @@ def _write_zone(jobs: list[tuple[str, DataFrame, str]], period: str, parallel: i
         return {name: f.result() for name, f in futures.items()}
 
 
+class DuplicateKeyError(ValueError):
+    pass
+
+
+def assert_unique_date_keys(dim_date: DataFrame) -> None:
+    """Fail when two timestamps share an hour key (sub-hourly input).
+
+    Runs on the stored dimension (one row per hour of history): a grouped
+    count stopped at the first duplicate.
+    """
+    dup = dim_date.groupBy("date_key").count().where(F.col("count") > F.lit(1)).limit(1).collect()
+    if dup:
+        raise DuplicateKeyError(f"dim_date: date_key {dup[0]['date_key']} appears {dup[0]['count']} times")
+
+
 def build_warehouse(spark: SparkSession, source: Tables, base: str, period: str = "year",
-                    tables: list[str] | None = None, parallel: int = 3) -> dict[str, int]:
+                    tables: list[str] | None = None, parallel: int = 3,
+                    check_keys: bool = True) -> dict[str, int]:
     """Land the raw zone from ``source``, then build cleaned and star zones
-    from the stored zone below. Returns rows written per table (AGG-16)."""
+    from the stored zone below. Returns rows written per table (AGG-16).
+
+    With ``check_keys`` the stored ``dim_date`` must have one row per hour
+    key before any fact is built on it."""
     stored = StoredTables(spark, base)
     wanted = tables or S.ALL_TABLES
 
@@ -139,6 +163,8 @@ def build_warehouse(spark: SparkSession, source: Tables, base: str, period: str
     counts.update(zone(source, S.RAW_TABLES))
     counts.update(zone(from_store(S.RAW_TABLES), S.CLEANED_TABLES))
     counts.update(zone(from_store(S.CLEANED_TABLES), ["dim_date", "dim_city"]))
+    if check_keys and "dim_date" in counts:
+        assert_unique_date_keys(stored.table("dim_date"))
     counts.update(zone(from_store(S.CLEANED_TABLES + ["dim_date", "dim_city"]),
                        ["fct_weather_hourly", "fct_prices_hourly", "fct_generation_hourly"]))
     return {n: counts[n] for n in S.ALL_TABLES if n in counts}

@@ -101,3 +101,21 @@ def test_full_build_replaces_periods_refresh_keeps_them(spark, scratch):
     assert sorted(r.p_year for r in spark.read.parquet(path).collect()) == [2024]
     write_table(rows([2025]), path, "raw_prices", replace="periods")   # refresh: 2024 stays
     assert sorted(r.p_year for r in spark.read.parquet(path).collect()) == [2024, 2025]
+
+
+def test_sub_hourly_weather_fails_the_key_check(spark, scratch):
+    from datetime import datetime
+
+    import pytest
+
+    from hourmart.sinks.writer import DuplicateKeyError, build_warehouse
+    from hourmart.sources.catalog import LayeredTables
+
+    w = [(datetime(2024, 1, 1, 10, m), 1.0, 1.0, 1.0, "Sofia", 42.7065, 23.3219) for m in (0, 30)]
+    raw = LayeredTables(spark, {
+        "raw_weather": spark.createDataFrame(w, S.RAW_WEATHER),
+        "raw_prices": spark.createDataFrame([], S.RAW_PRICES),
+        "raw_generation": spark.createDataFrame([], S.RAW_GENERATION),
+    })
+    with pytest.raises(DuplicateKeyError, match="2024010110"):
+        build_warehouse(spark, raw, os.path.join(scratch, "wh"))
