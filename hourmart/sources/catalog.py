@@ -87,6 +87,19 @@ class DerivedTables(LayeredTables):
         self.sf_dir = sf_dir
 
 
+class RawFiles(LayeredTables):
+    """Landed raw Parquet files (one path per raw table), read with the
+    declared schemas; cleaned and star tables derived from them."""
+
+    def __init__(self, spark: SparkSession, paths: dict[str, str]):
+        from hourmart.sources.landing import read_raw_parquet
+
+        missing = [t for t in S.RAW_TABLES if t not in paths]
+        if missing:
+            raise ValueError(f"no path for {missing}")
+        super().__init__(spark, {t: read_raw_parquet(spark, paths[t], t) for t in S.RAW_TABLES})
+
+
 class StoredTables(Tables):
     """Parquet warehouse at ``<base>/<zone>/<table>``.
 
