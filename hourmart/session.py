@@ -45,17 +45,18 @@ def get_session(master: str | None = None, app: str = "hourmart",
 def shared_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The cluster's shared folder for checkpoints and written tables.
 
-    Read from ``spark.checkpoint.dir``; a ``fallback`` is set only where the
-    session names none (local tests). Never a machine-local temp folder on a
-    cluster.
+    Read from ``spark.checkpoint.dir`` (or a checkpoint folder the
+    application already set); a ``fallback`` is set only where the session
+    names none (local tests). Never a machine-local temp folder on a cluster.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
         if fallback is None:
             raise RuntimeError("spark.checkpoint.dir is not set and no fallback was given")
-        os.makedirs(fallback, exist_ok=True) if "://" not in fallback else None
-        spark.sparkContext.setCheckpointDir(fallback)
-        spark.conf.set("spark.checkpoint.dir", fallback)
+        if "://" not in fallback:
+            os.makedirs(fallback, exist_ok=True)
+        sc.setCheckpointDir(fallback)
         d = fallback
     return d.rstrip("/")
 

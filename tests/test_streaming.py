@@ -47,3 +47,21 @@ def test_stream_refresh_merges_new_days_and_corrections(spark, scratch):
     day1 = {r.timestamp.hour: r.shortwave_radiation_wm2 for r in df.where("p_date = '2024-01-01'").collect()}
     assert all(day1[h] == 5.0 for h in range(12)) and all(day1[h] == 1.0 for h in range(12, 24))
     assert df.where("p_date = '2024-01-02'").count() == 24
+
+
+def test_shared_dir_fallback_only_when_unset(scratch):
+    import subprocess
+    import sys
+
+    empty_conf = os.path.join(scratch, "conf")
+    os.makedirs(empty_conf)
+    code = (
+        "import sys; sys.path.insert(0, %r)\n"
+        "from hourmart.session import get_session, shared_dir\n"
+        "s = get_session('local[1]')\n"
+        "print('DIR', shared_dir(s, %r))\n"
+        "print('ROWS', s.range(5).checkpoint(eager=True).count())\n"
+    ) % (os.path.dirname(os.path.dirname(os.path.abspath(__file__))), os.path.join(scratch, "ckpt"))
+    env = dict(os.environ, SPARK_CONF_DIR=empty_conf)
+    out = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=300).stdout
+    assert f"DIR {os.path.join(scratch, 'ckpt')}" in out and "ROWS 5" in out
