@@ -68,7 +68,8 @@ def exact_quantiles(df: DataFrame, column: str, probs: list[float], buckets: int
     5. one conditional aggregate picks the values at the two ranks around
        each target position and interpolates.
 
-    Output: one row, one ``double`` column per probability (``q0``, ``q1``...).
+    Output: one row, one ``double`` column per probability (``q0``, ``q1``...),
+    equal bit for bit to Spark's single-task exact ``percentile``.
     """
     v = df.select(F.col(f"`{column}`").cast("double").alias("v")).where(_present(F.col("v")))
     counts = v.groupBy("v").agg(F.count(F.lit(1)).alias("c")) \
@@ -94,12 +95,16 @@ def exact_quantiles(df: DataFrame, column: str, probs: list[float], buckets: int
     def value_at(rank: Column) -> Column:
         return F.max(F.when((F.col("start") <= rank) & (rank < F.col("end")), F.col("v")))
 
+    # interpolation written as Spark's own exact ``percentile`` writes it:
+    # (ceil - pos) * lower + (pos - floor) * upper, or lower when pos is whole
     aggs, outs = [], []
     for i, p in enumerate(probs):
         pos = (n - F.lit(1)).cast("double") * F.lit(float(p))
         aggs += [value_at(F.floor(pos)).alias(f"_lo{i}"), value_at(F.ceil(pos)).alias(f"_hi{i}"),
-                 F.first(pos - F.floor(pos)).alias(f"_d{i}")]
-        outs.append((F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_d{i}")).alias(f"q{i}"))
+                 F.first(pos).alias(f"_p{i}")]
+        lo_v, hi_v, ps = F.col(f"_lo{i}"), F.col(f"_hi{i}"), F.col(f"_p{i}")
+        f, c = F.floor(ps).cast("double"), F.ceil(ps).cast("double")
+        outs.append(F.when(c == f, lo_v).otherwise((c - ps) * lo_v + (ps - f) * hi_v).alias(f"q{i}"))
     return ranked.agg(*aggs).select(*outs)
 
 
