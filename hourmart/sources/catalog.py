@@ -136,7 +136,7 @@ def register_external_tables(spark: SparkSession, database: str, base: str,
     """CREATE TABLE ... USING parquet LOCATION for each stored table.
 
     Metadata only: no data is read or copied. Partitioned tables get their
-    partitions discovered with ``MSCK REPAIR``-equivalent recovery.
+    partition folders registered with ``RECOVER PARTITIONS``.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     done = []
@@ -144,7 +144,7 @@ def register_external_tables(spark: SparkSession, database: str, base: str,
         loc = f"{base.rstrip('/')}/{S.ZONE_OF[name]}/{name}"
         spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}`")
         spark.sql(f"CREATE TABLE `{database}`.`{name}` USING parquet LOCATION '{loc}'")
-        if spark.table(f"`{database}`.`{name}`").schema and _is_partitioned(spark, database, name):
+        if _is_partitioned(spark, database, name):
             spark.sql(f"ALTER TABLE `{database}`.`{name}` RECOVER PARTITIONS")
         done.append(name)
     return done
