@@ -151,7 +151,7 @@ def register_external_tables(spark: SparkSession, database: str, base: str,
 
 
 def _is_partitioned(spark: SparkSession, database: str, name: str) -> bool:
-    return any(c.isPartition for c in spark.catalog.listColumns(name, database))
+    return any(c.isPartition for c in spark.catalog.listColumns(f"`{database}`.`{name}`"))
 
 
 def list_tables(spark: SparkSession, database: str | None = None) -> DataFrame:
