@@ -4,7 +4,7 @@
     python -m hourmart build --driver-tables DIR --warehouse PATH
     python -m hourmart build --raw-weather P --raw-prices P --raw-generation P --warehouse PATH
     python -m hourmart query KEY --warehouse PATH [--city NAME] [--out PATH]
-    python -m hourmart refresh --landing DIR --table PATH
+    python -m hourmart refresh [--feed weather|prices|generation] --landing DIR --table PATH
 """
 
 from __future__ import annotations
@@ -62,11 +62,16 @@ def cmd_query(args) -> int:
 
 
 def cmd_refresh(args) -> int:
-    from hourmart.streaming.refresh import load_weather_files
+    from hourmart.streaming import refresh as R
 
     spark = _session(args)
-    print(load_weather_files(spark, args.landing, args.table, period=args.period,
-                             multi_line=not args.json_lines))
+    if args.feed == "weather":
+        n = R.load_weather_files(spark, args.landing, args.table, period=args.period, multi_line=not args.json_lines)
+    elif args.feed == "prices":
+        n = R.load_price_files(spark, args.landing, args.table, period=args.period)
+    else:
+        n = R.load_generation_files(spark, args.landing, args.table, period=args.period)
+    print(n)
     return 0
 
 
@@ -93,7 +98,8 @@ def main(argv: list[str] | None = None) -> int:
     q.add_argument("--out")
     q.add_argument("--rows", type=int, default=50)
 
-    r = sub.add_parser("refresh", help="merge landed weather responses into a raw table")
+    r = sub.add_parser("refresh", help="merge a day's landed feed into its raw table")
+    r.add_argument("--feed", default="weather", choices=["weather", "prices", "generation"])
     r.add_argument("--landing", required=True)
     r.add_argument("--table", required=True)
     r.add_argument("--period", default="date", choices=["year", "month", "date"])

@@ -130,7 +130,7 @@ def generation_long(raw_generation: DataFrame) -> DataFrame:
             .where(F.col("mw").isNotNull()))
 
 
-def generation_wide(long: DataFrame) -> DataFrame:
+def generation_wide(long: DataFrame, keys: tuple[str, ...] = ("timestamp", "country")) -> DataFrame:
     """(timestamp, country, source, mw) -> one column per source (ING-10).
 
     A pivot over the 11 listed sources written as one conditional aggregate:
@@ -139,9 +139,10 @@ def generation_wide(long: DataFrame) -> DataFrame:
     shuffle the long rows by (timestamp, country, source), then again).
     """
     names = [src for src, _ in S.GENERATION_SOURCES]
-    wide = long.groupBy("timestamp", "country").agg(
+    wide = long.groupBy(*keys).agg(
         *[F.max(F.when(F.col("source") == F.lit(n), F.col("mw"))).cast("double").alias(n) for n in names])
-    return wide.select("timestamp", *[F.col(f"`{n}`") for n in names], "country")
+    extra = [k for k in keys if k not in ("timestamp", "country")]
+    return wide.select("timestamp", *[F.col(f"`{n}`") for n in names], "country", *extra)
 
 
 def flatten_headers(df: DataFrame, sep: str = "_") -> DataFrame:
@@ -219,3 +220,40 @@ def restrict_range(df: DataFrame, start: str, end: str, ts_col: str = "timestamp
     lo = F.lit(start).cast("timestamp_ntz")
     hi = F.lit(end).cast("timestamp_ntz")
     return df.where(F.col(ts_col).between(lo, hi))
+
+
+# Landed market feeds: one JSON object per line, instants in UTC.
+PRICE_LANDING = T.StructType([T.StructField("timestamp_utc", T.StringType()),
+                              T.StructField("price", T.DoubleType())])
+GENERATION_LANDING = T.StructType([T.StructField("timestamp_utc", T.StringType()),
+                                   T.StructField("source", T.StringType()),
+                                   T.StructField("mw", T.DoubleType())])
+
+
+def parse_utc_instant(s: Column) -> Column:
+    """ISO instant string (``...Z``, ``...+00:00`` or bare) -> NTZ holding the UTC clock."""
+    return F.to_timestamp_ntz(F.regexp_replace(s, r"(Z|[+-]00:?00)$", ""))
+
+
+def price_rows(landed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Landed (timestamp_utc, price) lines -> raw_prices rows + ``timestamp_utc``."""
+    utc = landed.select(parse_utc_instant(F.col("timestamp_utc")).alias("timestamp_utc"), "price", *keep)
+    return utc.select(
+        utc_to_local(F.col("timestamp_utc")).alias("timestamp"),
+        F.col("price").cast("double").alias("price_eur_mwh"),
+        F.lit(S.MARKET_COUNTRY).alias("country"),
+        F.lit(S.MARKET_CURRENCY).alias("currency"),
+        F.lit(S.MARKET_UNIT).alias("unit"),
+        "timestamp_utc", *keep)
+
+
+def generation_rows(landed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Landed (timestamp_utc, source, mw) lines -> raw_generation rows + ``timestamp_utc``.
+
+    One row per UTC hour: the two autumn hours that share a local hour stay
+    two rows, as the feed delivers them.
+    """
+    long = landed.select(parse_utc_instant(F.col("timestamp_utc")).alias("timestamp_utc"), "source", "mw", *keep)
+    long = long.select(utc_to_local(F.col("timestamp_utc")).alias("timestamp"), F.lit(S.MARKET_COUNTRY).alias("country"),
+                       "timestamp_utc", "source", "mw", *keep)
+    return generation_wide(long, ("timestamp", "country", "timestamp_utc", *keep))

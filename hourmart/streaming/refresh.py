@@ -29,10 +29,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from hourmart import schemas as S
 from hourmart.sinks.writer import partition_column, with_period
-from hourmart.sources.landing import dedupe_latest, weather_rows, with_city_attributes
+from hourmart.sources.landing import (GENERATION_LANDING, PRICE_LANDING, dedupe_latest, generation_rows,
+                                      price_rows, weather_rows, with_city_attributes)
 
 ORDER_COL = "_landed_at"
 WEATHER_KEYS = ["timestamp", "city"]
+# Market feeds are keyed on the UTC instant: the two autumn hours that share a
+# local wall-clock hour are two rows, as the feed delivers them.
+MARKET_KEYS = ["timestamp_utc"]
 
 
 def _read_partitions(spark: SparkSession, path: str, pcol: str, values: list, schema) -> DataFrame | None:
@@ -130,3 +134,24 @@ def default_checkpoint(spark: SparkSession, name: str) -> str:
     from hourmart.session import shared_dir
 
     return os.path.join(shared_dir(spark), "hourmart-streams", name)
+
+
+def _market_reader(spark: SparkSession, schema):
+    return spark.read.schema(schema).option("mode", "FAILFAST")
+
+
+def load_price_files(spark: SparkSession, landing_path: str, table_path: str, period: str = "date") -> int:
+    """Merge landed day-ahead prices (JSON lines of ``timestamp_utc``, ``price``)
+    into a raw_prices table partitioned by local period. The stored table
+    keeps ``timestamp_utc`` next to the raw columns (the merge key)."""
+    lines = _market_reader(spark, PRICE_LANDING).json(landing_path).select("*", _landed_at())
+    return merge_into_partitions(price_rows(lines, keep=(ORDER_COL,)), table_path, "raw_prices", MARKET_KEYS, period)
+
+
+def load_generation_files(spark: SparkSession, landing_path: str, table_path: str, period: str = "date") -> int:
+    """Merge landed generation (JSON lines of ``timestamp_utc``, ``source``,
+    ``mw``) into a raw_generation table; a landed hour replaces that hour's row,
+    so a file carries all sources of the hours it covers."""
+    lines = _market_reader(spark, GENERATION_LANDING).json(landing_path).select("*", _landed_at())
+    return merge_into_partitions(generation_rows(lines, keep=(ORDER_COL,)), table_path, "raw_generation",
+                                 MARKET_KEYS, period)

@@ -65,3 +65,40 @@ def test_shared_dir_fallback_only_when_unset(scratch):
     env = dict(os.environ, SPARK_CONF_DIR=empty_conf)
     out = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=300).stdout
     assert f"DIR {os.path.join(scratch, 'ckpt')}" in out and "ROWS 5" in out
+
+
+def _lines(folder, name, rows):
+    os.makedirs(folder, exist_ok=True)
+    with open(os.path.join(folder, name), "w") as f:
+        f.write("\n".join(json.dumps(r) for r in rows))
+
+
+def test_price_and_generation_refresh_keep_both_autumn_hours(spark, scratch):
+    from datetime import datetime
+
+    from hourmart.sources.catalog import LayeredTables
+    from hourmart.streaming.refresh import load_generation_files, load_price_files
+
+    land_p, land_g = os.path.join(scratch, "lp"), os.path.join(scratch, "lg")
+    tp, tg = os.path.join(scratch, "raw_prices"), os.path.join(scratch, "raw_generation")
+    _lines(land_p, "day1.json", [{"timestamp_utc": "2024-10-27T00:00:00Z", "price": 10.0},
+                                 {"timestamp_utc": "2024-10-27T01:00:00Z", "price": 11.0},
+                                 {"timestamp_utc": "2024-10-27T02:00:00+00:00", "price": 12.0}])
+    _lines(land_g, "day1.json", [{"timestamp_utc": "2024-10-27T00:00:00Z", "source": "Solar", "mw": 1.0},
+                                 {"timestamp_utc": "2024-10-27T00:00:00Z", "source": "Nuclear", "mw": 2.0},
+                                 {"timestamp_utc": "2024-10-27T01:00:00Z", "source": "Solar", "mw": 3.0}])
+    assert load_price_files(spark, land_p, tp) == 3
+    assert load_price_files(spark, land_p, tp) == 3  # replay: same table
+    assert load_generation_files(spark, land_g, tg) == 2
+    prices = spark.read.parquet(tp)
+    assert sorted(r.timestamp for r in prices.collect()) == [datetime(2024, 10, 27, 3), datetime(2024, 10, 27, 3),
+                                                              datetime(2024, 10, 27, 4)]
+    time.sleep(1.1)
+    _lines(land_p, "fix.json", [{"timestamp_utc": "2024-10-27T01:00:00Z", "price": 99.0}])
+    assert load_price_files(spark, land_p, tp) == 3
+    assert {r.price_eur_mwh for r in spark.read.parquet(tp).collect()} == {10.0, 99.0, 12.0}
+    # the refreshed raw tables feed the cleaned and star builders unchanged
+    t = LayeredTables(spark, {"raw_prices": spark.read.parquet(tp), "raw_generation": spark.read.parquet(tg)})
+    assert t.table("fct_prices_hourly").count() == 3
+    g = {r.total_generation_mw for r in t.table("fct_generation_hourly").collect()}
+    assert g == {3.0}
