@@ -14,9 +14,10 @@ def city_key_of(t: Tables, city: str) -> Column:
     """Surrogate key of ``city`` as a scalar subquery (no driver round trip).
 
     Looked up by name instead of a literal key, so renumbering the station
-    list cannot silently switch cities. An unknown city gives NULL (no rows).
+    list cannot silently switch cities. An unknown city gives NULL (no rows);
+    a city listed with two coordinate pairs (two keys) uses its first key.
     """
-    return t.table("dim_city").where(F.col("city") == F.lit(city)).select("city_key").scalar()
+    return t.table("dim_city").where(F.col("city") == F.lit(city)).agg(F.min("city_key")).scalar()
 
 
 def city_weather(t: Tables, city: str, *cols: str) -> DataFrame:

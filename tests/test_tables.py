@@ -176,3 +176,16 @@ def test_exact_quantiles_match_sql_quantile_cont(spark):
     assert list(one) == [3.0, 3.0]
     empty = exact_quantiles(spark.createDataFrame([], "x double"), "x", [0.5]).first()
     assert list(empty) == [None]
+
+
+def test_city_with_two_keys_uses_the_first(spark):
+    w = [(datetime(2024, 1, 1, 12), 100.0, 1.0, 1.0, "Sofia", 42.7065, 23.3219),
+         (datetime(2024, 1, 1, 12), 300.0, 1.0, 1.0, "Sofia", 42.0, 23.0)]
+    t = _tables(spark, weather=w)
+    from hourmart.plans import weather as WX
+
+    r = WX.city_weather_kpis(t).first()  # no "more than one row" failure
+    # the fact joins weather to dim_city by name, so each Sofia row meets both keys (the fan-out
+    # the model has); the first key therefore sees both readings
+    assert (r.avg_radiation, r.max_radiation) == (200.0, 300.0)
+    assert WX.city_key_lookup(t).count() == 2
