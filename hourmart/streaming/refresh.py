@@ -116,20 +116,49 @@ def _landed_at():
     return F.unix_micros(F.col("_metadata.file_modification_time")).alias(ORDER_COL)
 
 
-def start_weather_refresh(spark: SparkSession, landing_dir: str, table_path: str, checkpoint_location: str,
-                          period: str = "date", available_now: bool = True,
-                          multi_line: bool = True) -> StreamingQuery:
-    """Start the refresh stream; with ``available_now`` it stops when caught up."""
-    docs = _landing_reader(spark.readStream, multi_line).json(landing_dir).select("*", _landed_at())
+def _feed(feed: str):
+    """(landing schema, rows builder, raw table, merge keys, JSON options) of a feed."""
+    if feed == "weather":
+        return S.WEATHER_LANDING, weather_batch_rows, "raw_weather", WEATHER_KEYS
+    if feed == "prices":
+        return PRICE_LANDING, lambda d: price_rows(d, keep=(ORDER_COL,)), "raw_prices", MARKET_KEYS
+    if feed == "generation":
+        return GENERATION_LANDING, lambda d: generation_rows(d, keep=(ORDER_COL,)), "raw_generation", MARKET_KEYS
+    raise ValueError(f"unknown feed {feed!r}")
+
+
+def start_refresh(spark: SparkSession, feed: str, landing_dir: str, table_path: str, checkpoint_location: str,
+                  period: str = "date", available_now: bool = True, multi_line: bool | None = None) -> StreamingQuery:
+    """Start the refresh stream of one feed (weather, prices or generation).
+
+    New files in ``landing_dir`` are read as they land; each micro-batch is
+    merged with :func:`merge_into_partitions`. With ``available_now`` the
+    query processes what has landed and stops (a scheduled daily run).
+    Weather responses are whole JSON documents per file by default, market
+    feeds JSON lines.
+    """
+    schema, rows, table, keys = _feed(feed)
+    multi = (feed == "weather") if multi_line is None else multi_line
+    reader = spark.readStream.schema(schema).option("multiLine", "true" if multi else "false") \
+        .option("mode", "FAILFAST")
+    docs = reader.json(landing_dir).select("*", _landed_at())
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
-        merge_into_partitions(weather_batch_rows(batch), table_path, "raw_weather", WEATHER_KEYS, period)
+        merge_into_partitions(rows(batch), table_path, table, keys, period)
 
     w = docs.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint_location)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 hour")
     return w.start()
 
 
+def start_weather_refresh(spark: SparkSession, landing_dir: str, table_path: str, checkpoint_location: str,
+                          period: str = "date", available_now: bool = True,
+                          multi_line: bool = True) -> StreamingQuery:
+    """The weather feed's refresh stream (see :func:`start_refresh`)."""
+    return start_refresh(spark, "weather", landing_dir, table_path, checkpoint_location, period, available_now,
+                         multi_line)
+
+
 def default_checkpoint(spark: SparkSession, name: str) -> str:
     from hourmart.session import shared_dir
 

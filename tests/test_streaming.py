@@ -102,3 +102,16 @@ def test_price_and_generation_refresh_keep_both_autumn_hours(spark, scratch):
     assert t.table("fct_prices_hourly").count() == 3
     g = {r.total_generation_mw for r in t.table("fct_generation_hourly").collect()}
     assert g == {3.0}
+
+
+def test_price_stream_refresh(spark, scratch):
+    from hourmart.streaming.refresh import start_refresh
+
+    land, table, ckpt = (os.path.join(scratch, x) for x in ("lp", "raw_prices", "ckpt"))
+    _lines(land, "d1.json", [{"timestamp_utc": f"2024-03-30T{h:02d}:00:00Z", "price": float(h)} for h in range(24)])
+    start_refresh(spark, "prices", land, table, ckpt).awaitTermination(120)
+    assert spark.read.parquet(table).count() == 24
+    _lines(land, "d2.json", [{"timestamp_utc": f"2024-03-31T{h:02d}:00:00Z", "price": 1.0} for h in range(24)])
+    start_refresh(spark, "prices", land, table, ckpt).awaitTermination(120)
+    df = spark.read.parquet(table)
+    assert df.count() == 48 and df.select("timestamp").distinct().count() == 48  # spring gap: no collision

@@ -29,7 +29,7 @@ MAP: dict[str, tuple[str, str, str]] = {
     "SNK-04": ("`sinks/writer.write_table` (replace all / periods), `build_warehouse`", "", "test_sinks::test_full_build_replaces_periods_refresh_keeps_them"),
     "SNK-05": ("`sinks/writer.export_curated`", "", "test_sinks::test_partitions_and_curated_export"),
     "SNK-06": ("every query function returns a DataFrame (`plans/registry.QUERIES`)", "", "test_oracle"),
-    "SNK-07": ("`streaming/refresh.start_weather_refresh`, `load_weather_files`, `load_price_files`, `load_generation_files`, `merge_into_partitions`", "", "test_streaming"),
+    "SNK-07": ("`streaming/refresh.start_refresh` (weather, prices, generation streams), `load_*_files`, `merge_into_partitions`", "", "test_streaming"),
     "ING-01": ("`sources/landing.parse_landing_time`", "src_05_weather_landing_roundtrip", "test_landing::test_weather_landing_parallel_arrays"),
     "ING-02": ("`sources/landing.with_city_attributes` (fixed 5-row station list)", "", "test_landing::test_weather_landing_parallel_arrays"),
     "ING-03": ("`sources/landing.prices_from_utc`, `sources/driver_tables.raw_prices`", "ing_04_prices_utc_to_local", "test_landing::test_prices_from_utc_keep_autumn_repeat"),
