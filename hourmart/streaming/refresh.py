@@ -81,10 +81,10 @@ def merge_into_partitions(new_rows: DataFrame, path: str, table: str, keys: list
     # Reliable checkpoint: the overwrite below must not read the partitions it replaces.
     merged = merged.checkpoint(eager=True)
     obs = Observation("merged_rows")
-    # A batch touches one or two periods: hash on the keys spreads them over
-    # tasks (AQE merges small ones), with no sampling job as a range split needs.
-    (merged.repartition(*keys)
-     .sortWithinPartitions(*keys)
+    # The dedupe already hash-distributed the rows on the keys (kept through
+    # the checkpoint), so a batch's one or two periods are spread over tasks:
+    # sort inside each task and write, with no further shuffle.
+    (merged.sortWithinPartitions(*keys)
      .observe(obs, F.count(F.lit(1)).alias("rows"))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(pcol).parquet(path))
