@@ -23,6 +23,14 @@ from hourmart.sources.catalog import Tables
 QueryFn = Callable[[Tables], DataFrame]
 
 
+def _variant(fn: QueryFn, doc: str, **params) -> QueryFn:
+    """``fn`` with fixed parameters (a published twin or another city)."""
+    def q(t: Tables) -> DataFrame:
+        return fn(t, **params)
+    q.__doc__ = doc
+    return q
+
+
 def _table(name: str) -> QueryFn:
     def q(t: Tables) -> DataFrame:
         return t.table(name)
@@ -48,7 +56,7 @@ QUERIES: dict[str, QueryFn] = {
     "agg_01_city_radiation": WX.city_radiation,
     "agg_02_season_weather": WX.season_weather,
     "agg_03_monthly_mix": MIX.monthly_mix,
-    "agg_03_monthly_mix_dashboard": lambda t: MIX.monthly_mix(t, with_total=False),
+    "agg_03_monthly_mix_dashboard": _variant(MIX.monthly_mix, "AGG-03 without the total column.", with_total=False),
     "agg_04_generation_shares": MIX.generation_shares,
     "agg_05_summer_city_radiation": WX.summer_city_radiation,
     "agg_06_seasonal_flagship": SEA.seasonal_weather_generation_price,
@@ -57,9 +65,11 @@ QUERIES: dict[str, QueryFn] = {
     "agg_09_seasonal_summary": SEA.seasonal_summary,
     "agg_10_seasonal_summary_display": SEA.seasonal_summary_display,
     "agg_11_city_month_radiation": WX.city_month_radiation,
-    "agg_11_city_month_radiation_dashboard": lambda t: WX.city_month_radiation(t, with_region=False),
+    "agg_11_city_month_radiation_dashboard": _variant(WX.city_month_radiation, "AGG-11 without the region column.",
+                                                      with_region=False),
     "agg_12_generation_kpis": MIX.generation_kpis,
-    "agg_12_generation_kpis_insights": lambda t: MIX.generation_kpis(t, naming="insights"),
+    "agg_12_generation_kpis_insights": _variant(MIX.generation_kpis, "AGG-12 with the insights column names.",
+                                                naming="insights"),
     "agg_12_generation_kpi_cards": MIX.generation_kpi_cards,
     "agg_13_price_kpis": PR.price_kpis,
     "agg_14_monthly_prices": PR.monthly_prices,
@@ -82,9 +92,9 @@ QUERIES: dict[str, QueryFn] = {
     "sta_04_corr_wind": COR.corr_wind,
     "sta_05_negative_price_share": COR.negative_price_share,
     # the dashboard's city selector (FIL-06) with another station
-    "fil_06_corr_solar_plovdiv": lambda t: COR.corr_solar(t, city="Plovdiv"),
-    "fil_06_wind_pairs_varna": lambda t: COR.wind_pairs(t, city="Varna"),
-    "fil_06_city_weather_kpis_burgas": lambda t: WX.city_weather_kpis(t, city="Burgas"),
+    "fil_06_corr_solar_plovdiv": _variant(COR.corr_solar, "STA-03 r for Plovdiv.", city="Plovdiv"),
+    "fil_06_wind_pairs_varna": _variant(COR.wind_pairs, "STA-04 pairs for Varna.", city="Varna"),
+    "fil_06_city_weather_kpis_burgas": _variant(WX.city_weather_kpis, "AGG-15 for Burgas.", city="Burgas"),
     "sta_06_describe_prices": PF.describe_prices,
     "sta_06_describe_city_radiation": PF.describe_city_radiation,
     "sta_07_generation_null_counts": PF.generation_null_counts,
