@@ -16,3 +16,17 @@ def test_cli_build_and_query(spark, scratch, capsys):
     assert spark.read.parquet(out).count() == 1
     assert main(["list"]) == 0
     assert "agg_06_seasonal_flagship" in capsys.readouterr().out
+
+
+def test_cli_refresh_prices(spark, scratch, capsys):
+    import json
+
+    land = os.path.join(scratch, "landing")
+    os.makedirs(land)
+    with open(os.path.join(land, "d.json"), "w") as f:
+        f.write("\n".join(json.dumps({"timestamp_utc": f"2024-05-01T{h:02d}:00:00Z", "price": 50.0 + h})
+                          for h in range(24)))
+    table = os.path.join(scratch, "raw_prices")
+    assert main(["refresh", "--feed", "prices", "--landing", land, "--table", table]) == 0
+    assert capsys.readouterr().out.strip().endswith("24")
+    assert spark.read.parquet(table).count() == 24
