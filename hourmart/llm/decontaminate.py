@@ -44,12 +44,18 @@ def _in_blocks(values: list[str], size: int) -> list[list[str]]:
     return [values[i:i + size] for i in range(0, len(values), size)]
 
 
-def _counts(docs: DataFrame, text: str, vocabulary: DataFrame, block_words: int) -> DataFrame:
+def document_words(docs: DataFrame, id_col: str, text: str) -> DataFrame:
+    """(id, key, w): the words of every document, written once and read by each later pass."""
+    return store(docs.select(F.col(id_col), document_key(F.col(text)).alias("key"), words(F.col(text)).alias("w")),
+                 "document-words")
+
+
+def _counts(rows: DataFrame, vocabulary: DataFrame, block_words: int) -> DataFrame:
     """(word, count) of the vocabulary over the documents."""
-    spark = docs.sparkSession
+    spark = rows.sparkSession
     parts = []
     for block in _in_blocks([r[0] for r in vocabulary.toLocalIterator()], block_words):
-        parts.append(docs.select(F.explode(F.filter(words(F.col(text)), lambda x: x.isin(block))).alias("word"))
+        parts.append(rows.select(F.explode(F.filter("w", lambda x: x.isin(block))).alias("word"))
                      .groupBy("word").count())
     if not parts:
         return spark.createDataFrame([], "word string, count long")
@@ -59,15 +65,15 @@ def _counts(docs: DataFrame, text: str, vocabulary: DataFrame, block_words: int)
     return out
 
 
-def window_hits(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text: str = "text",
+def window_hits(rows: DataFrame, items: DataFrame, id_col: str = "doc_id",
                 item_id: str = "item_id", item_text: str = "text", window: int = WINDOW,
                 block_words: int = BLOCK_WORDS) -> DataFrame:
-    """(id, key, start, size, items): every occurrence of a window in a document; ``key`` is
-    ``document_key`` of the text, ``start`` counts words from 0."""
-    spark = docs.sparkSession
+    """(id, key, start, size, items): every occurrence of a window in a document of ``document_words``;
+    ``key`` is ``document_key`` of the text, ``start`` counts words from 0."""
+    spark = rows.sparkSession
     wins = store(item_windows(items, item_id, item_text, window), "item-windows")
     vocabulary = wins.select(F.explode("win").alias("word")).distinct()
-    counts = store(_counts(docs, text, vocabulary, block_words), "word-counts")
+    counts = store(_counts(rows, vocabulary, block_words), "word-counts")
     # the rarest word of each window; a window with a word that no document has can't occur
     spots = (wins.select("win", "items", F.posexplode("win").alias("off", "word"))
              .join(counts, "word", "left")
@@ -77,7 +83,6 @@ def window_hits(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text:
              .select("win", "items", F.col("m.word").alias("word"), F.col("m.off").alias("off"),
                      F.size("win").alias("size")))
     spots = store(spots, "window-prefixes")
-    rows = docs.select(F.col(id_col), document_key(F.col(text)).alias("key"), words(F.col(text)).alias("w"))
     n = F.size("w")
     found: list[DataFrame] = []
     prefixes = spots.select("word").distinct()
@@ -97,7 +102,7 @@ def window_hits(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text:
                      .where(F.slice("near", start - F.col("low") + F.lit(1), F.col("size")) == F.col("win"))
                      .select(id_col, "key", start.alias("start"), "size", "items"))
     if not found:
-        kind = docs.schema[id_col].dataType.simpleString()
+        kind = rows.schema[id_col].dataType.simpleString()
         ids = wins.schema["items"].dataType.simpleString()
         return spark.createDataFrame([], f"{id_col} {kind}, key long, start int, size int, items {ids}")
     out = found[0]
@@ -110,8 +115,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
                   item_id: str = "item_id", item_text: str = "text", window: int = WINDOW,
                   block_words: int = BLOCK_WORDS) -> DataFrame:
     """id, key, n_words, n_hit (words inside an occurrence), items (ids, sorted as strings) of every row."""
-    slim = docs.select(id_col, text)
-    hits = window_hits(slim, items, id_col, text, item_id, item_text, window, block_words)
+    rows = document_words(docs, id_col, text)
+    hits = window_hits(rows, items, id_col, item_id, item_text, window, block_words)
     # starts in order: each occurrence adds the words beyond what is covered so far
     covered = F.aggregate(
         F.array_sort("spans"), F.struct(F.lit(0).alias("end"), F.lit(0).alias("n")),
@@ -123,8 +128,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
                                            F.array_distinct(F.flatten(F.collect_set("items"))).alias("ids"))
            .select(id_col, "key", covered.cast("long").alias("n_hit"),
                    F.array_sort(F.transform("ids", lambda x: x.cast("string"))).alias("items"))).alias("b")
-    base = slim.select(id_col, document_key(F.col(text)).alias("key"),
-                       F.size(words(F.col(text))).cast("long").alias("n_words")).alias("a")
+    base = rows.select(id_col, "key", F.size("w").cast("long").alias("n_words")).alias("a")
     return base.join(per, (F.col("a.key") == F.col("b.key"))
                      & F.col(f"a.{id_col}").eqNullSafe(F.col(f"b.{id_col}")), "left") \
         .select(F.col(f"a.{id_col}").alias(id_col), F.col("a.key").alias("key"), "n_words",

@@ -23,7 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hourmart.llm.common import ascii_lower, document_key
+from hourmart.llm.common import ascii_lower, document_key, store
 from hourmart.llm.words import words
 
 # Phrases and their labels.
@@ -70,43 +70,38 @@ def _phrase_places(w: Column, phrase: str) -> Column:
     return F.when(F.size(w) >= F.lit(len(parts)), places).otherwise(F.array().cast("array<int>"))
 
 
-def phrase_hits(docs: DataFrame, text: str = "text", phrases=PHRASES) -> DataFrame:
-    """``docs`` with n_words, n_base, first_word, last_word and base (labels, distinct and sorted)."""
-    keep = docs.columns
-    rows = docs.withColumn("_low", ascii_lower(F.coalesce(F.col(text), F.lit("")))) \
-        .withColumn("_w", words(F.col("_low"), lowered=True))
+def scan_words(docs: DataFrame, id_col: str, text: str, phrases, vocabulary: list[str]) -> DataFrame:
+    """One pass over the texts: id, key, n_words, n_base, first_word, last_word, base (labels, distinct
+    and sorted) and blocks (for each line, its distinct words that are in ``vocabulary``; lines without left out)."""
+    low = ascii_lower(F.coalesce(F.col(text), F.lit("")))
+    rows = docs.select(F.col(id_col), document_key(F.col(text)).alias("key"),
+                       F.transform(F.split(low, "\n", -1), lambda line: words(line, lowered=True)).alias("lines"))
+    rows = rows.withColumn("w", F.flatten("lines"))
     # a phrase's last word must stand somewhere: texts without it skip the search
-    tails = {p.split(" ")[-1] for p, _ in phrases}
     maybe = F.lit(False)
-    for t in sorted(tails):
-        maybe = maybe | F.col("_low").contains(t)
+    for tail in sorted({p.split(" ")[-1] for p, _ in phrases}):
+        maybe = maybe | F.array_contains("w", tail)
     none = F.array().cast("array<int>")
-    rows = rows.withColumn("_at", F.array(*[F.when(maybe, _phrase_places(F.col("_w"), p)).otherwise(none)
-                                            for p, _ in phrases]))
-    every = F.flatten("_at")
+    rows = rows.withColumn("at", F.array(*[F.when(maybe, _phrase_places(F.col("w"), p)).otherwise(none)
+                                           for p, _ in phrases]))
+    every = F.flatten("at")
+    labels = F.array(*[F.when(F.size(F.get("at", F.lit(i))) > 0, F.lit(label)) for i, (_, label) in enumerate(phrases)])
+    blocks = F.transform("lines", lambda line: F.array_distinct(F.filter(line, lambda w: w.isin(vocabulary))))
     return rows.select(
-        *keep, F.size("_w").cast("long").alias("n_words"), F.size(every).cast("long").alias("n_base"),
+        id_col, "key", F.size("w").cast("long").alias("n_words"), F.size(every).cast("long").alias("n_base"),
         F.array_min(every).cast("long").alias("first_word"), F.array_max(every).cast("long").alias("last_word"),
-        F.array_sort(F.array_distinct(F.filter(F.array(*[
-            F.when(F.size(F.get("_at", F.lit(i))) > 0, F.lit(label)) for i, (_, label) in enumerate(phrases)]),
-            lambda x: x.isNotNull()))).alias("base"))
+        F.array_sort(F.array_distinct(F.filter(labels, lambda x: x.isNotNull()))).alias("base"),
+        F.filter(blocks, lambda v: F.size(v) > 0).alias("blocks"))
 
 
-def template_matches(docs: DataFrame, id_col: str = "doc_id", text: str = "text", templates=TEMPLATES,
+def template_matches(scanned: DataFrame, id_col: str, sets: list[tuple[str, list[str]]], vocabulary: list[str],
                      threshold: float = THRESHOLD) -> DataFrame:
     """(id, key, found, best): per document with a block that meets a template, the labels and the
-    greatest containment. ``key`` is ``document_key`` of the text."""
-    spark = docs.sparkSession
-    sets = [(label, sorted(set(t.split()))) for label, t in templates]
-    vocabulary = sorted({w for _, s in sets for w in s})
+    greatest containment. ``sets``: (label, distinct words) of each template."""
+    spark = scanned.sparkSession
     least = min(needed(len(s), threshold) for _, s in sets)
-    blocks = docs.select(F.col(id_col), document_key(F.col(text)).alias("key"),
-                         F.explode(F.split(ascii_lower(F.coalesce(F.col(text), F.lit(""))), "\n", -1)).alias("block"))
-    known = blocks.select(id_col, "key", F.array_distinct(F.filter(
-        words(F.col("block"), lowered=True), lambda w: w.isin(vocabulary))).alias("v"))
-
     # global frequency order of the template words: at most len(vocabulary) rows reach the driver
-    counts = dict(known.select(F.explode("v").alias("w")).groupBy("w").count().collect())
+    counts = dict(scanned.select(F.explode(F.flatten("blocks")).alias("w")).groupBy("w").count().collect())
     order = sorted(vocabulary, key=lambda w: (counts.get(w, 0), w))
     rank = {w: i for i, w in enumerate(order)}
     prefix = []
@@ -117,13 +112,15 @@ def template_matches(docs: DataFrame, id_col: str = "doc_id", text: str = "text"
     probe = F.broadcast(spark.createDataFrame(
         prefix, "w string, tpos int, template int, label string, m int, need int, tokens array<string>"))
 
-    ordered = F.filter(F.array(*[F.lit(w) for w in order]), lambda w: F.array_contains(F.col("v"), w))
-    placed = (known.where(F.size("v") >= F.lit(least)).withColumn("v", ordered)
-              .select(id_col, "key", "v", F.posexplode("v").alias("bpos", "w")))
+    large = F.filter("blocks", lambda v: F.size(v) >= F.lit(least))
+    ordered = F.transform(large, lambda v: F.filter(
+        F.array(*[F.lit(w) for w in order]), lambda w: F.array_contains(v, w)))
+    placed = scanned.select(id_col, "key", F.explode(ordered).alias("v")) \
+        .select(id_col, "key", "v", F.posexplode("v").alias("bpos", "w"))
     n = F.size("v")
     pairs = placed.join(probe, "w").where(
         (n >= F.col("need"))  # length
-        & (F.lit(1) + F.least(F.col("m") - F.col("tpos"), n - F.col("bpos")) - F.lit(1) >= F.col("need")))  # position
+        & (F.least(F.col("m") - F.col("tpos"), n - F.col("bpos")) >= F.col("need")))  # position
     common = F.size(F.array_intersect("v", "tokens"))
     met = pairs.withColumn("common", common).where(F.col("common") >= F.col("need"))
     return met.groupBy(id_col, "key").agg(
@@ -137,9 +134,11 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text", te
 
     ``score``: 1 with a base phrase, else the greatest containment of a template that is met, else 0.
     """
-    slim = docs.select(id_col, text)
-    base = phrase_hits(slim, text).withColumn("key", document_key(F.col(text))).drop(text).alias("a")
-    met = template_matches(slim, id_col, text, templates, threshold).alias("b")
+    sets = [(label, sorted(set(t.split()))) for label, t in templates]
+    vocabulary = sorted({w for _, s in sets for w in s})
+    scanned = store(scan_words(docs, id_col, text, PHRASES, vocabulary), "license-words")
+    met = template_matches(scanned, id_col, sets, vocabulary, threshold).alias("b")
+    base = scanned.drop("blocks").alias("a")
     both = base.join(met, (F.col("a.key") == F.col("b.key"))
                      & F.col(f"a.{id_col}").eqNullSafe(F.col(f"b.{id_col}")), "left")
     labels = F.array_sort(F.array_union("base", F.coalesce("found", F.array().cast("array<string>"))))

@@ -22,6 +22,7 @@ from hourmart.llm import shards as SH
 from hourmart.llm import token_counts as TC
 from hourmart.llm import warc as W
 from hourmart.llm.common import scratch, ship
+from hourmart.llm.sql import SQL  # noqa: F401
 
 
 def tokenizer(name: str) -> str:

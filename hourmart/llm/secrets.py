@@ -25,8 +25,9 @@ from pyspark.sql import functions as F
 # The patterns.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{12,}"  # 16 characters or more
-HEX = r"[0-9a-f]{32,}"
-KEYLIKE = r"[A-Za-z0-9+/_=-]{20,}"
+# a run's first match starts where the run does: the lookbehind only spares tries inside it
+HEX = r"(?<![0-9a-f])[0-9a-f]{32,}"
+KEYLIKE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
 
 #: kinds in the order that breaks ties of the start
 KINDS = ("assign", "access", "hex", "entropy")
