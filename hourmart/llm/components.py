@@ -10,6 +10,7 @@ and its join is split by the skew join.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,3 +53,15 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
         mark = now
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")) \
         .union(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+
+
+def local_classes(near: np.ndarray) -> np.ndarray:
+    """Smallest index reachable from each node of a symmetric link matrix."""
+    mark = np.arange(len(near))
+    far = len(near)
+    while True:
+        new = np.minimum(mark, np.where(near, mark[None, :], far).min(axis=1))
+        new = new[new]
+        if (new == mark).all():
+            return mark
+        mark = new

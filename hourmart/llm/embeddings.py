@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hourmart.llm.common import store
-from hourmart.llm.components import connected_components
+from hourmart.llm.components import connected_components, local_classes
 
 SAMPLE = 20_000
 CELL = 1000
@@ -82,18 +82,6 @@ def _cells(centers: np.ndarray, reach: float):
     return run
 
 
-def _local_classes(near: np.ndarray) -> np.ndarray:
-    """Smallest index reachable from each node of a symmetric link matrix."""
-    mark = np.arange(len(near))
-    far = len(near)
-    while True:
-        new = np.minimum(mark, np.where(near, mark[None, :], far).min(axis=1))
-        new = new[new]
-        if (new == mark).all():
-            return mark
-        mark = new
-
-
 def _compare(threshold: float):
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["node"]).reset_index(drop=True)
@@ -110,7 +98,7 @@ def _compare(threshold: float):
             return pd.DataFrame({"node": [], "links": [], "other": []}).astype("int64")
         near = near[np.ix_(linked, linked)]
         node = pdf["node"].to_numpy()[linked]
-        return pd.DataFrame({"node": node, "links": near @ copies[linked], "other": node[_local_classes(near)]})
+        return pd.DataFrame({"node": node, "links": near @ copies[linked], "other": node[local_classes(near)]})
     return run
 
 
