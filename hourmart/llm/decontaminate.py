@@ -99,7 +99,7 @@ def window_hits(rows: DataFrame, items: DataFrame, id_col: str = "doc_id",
         start: Column = F.col("at") - F.col("off")
         found.append(placed.join(probe, "word")
                      .where((start >= 0) & (start + F.col("size") <= F.col("n")))
-                     .where(F.slice("near", start - F.col("low") + F.lit(1), F.col("size")) == F.col("win"))
+                     .where(F.slice("near", F.greatest(start - F.col("low") + F.lit(1), F.lit(1)), F.col("size")) == F.col("win"))
                      .select(id_col, "key", start.alias("start"), "size", "items"))
     if not found:
         kind = rows.schema[id_col].dataType.simpleString()
