@@ -4,9 +4,7 @@ registered query over the stored tables.
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
 Prints one JSON line. ``value`` is the sum of the per-query times; the
 warehouse build (raw -> cleaned -> star, 11 tables written) and the
-end-to-end flagship (driver tables -> answer, nothing stored; once with the
-dates folded into one year as in the correctness check, once with the real
-years so the facts grow with the data) and one day's refresh of the raw
+end-to-end flagship (driver tables -> answer, nothing stored) and one day's refresh of the raw
 weather table are reported separately.
 
 Each query is executed in full with the ``noop`` sink (every row computed,
@@ -41,7 +39,7 @@ def run(df) -> float:
     return time.perf_counter() - t0
 
 
-def daily_refresh(spark, stored: StoredTables, base: str, day: str = "2024-06-15") -> float:
+def daily_refresh(spark, stored: StoredTables, base: str, day: str = "1995-06-15") -> float:
     """Time one day's load: the stations' responses for ``day`` (JSON lines,
     derived from the stored raw table) merged into a day-partitioned raw
     table that already holds the whole history."""
@@ -70,8 +68,6 @@ def main() -> None:
     if os.path.isdir(warm):
         run(QUERIES[FLAGSHIP](DerivedTables(spark, warm)))  # JVM warm-up, not timed
     e2e = run(QUERIES[FLAGSHIP](DerivedTables(spark, sf_dir)))
-    # real calendar years kept: facts grow with the data instead of folding into one year
-    e2e_unfolded = run(QUERIES[FLAGSHIP](DerivedTables(spark, sf_dir, fold_year=False)))
 
     t0 = time.perf_counter()
     counts = build_warehouse(spark, DerivedTables(spark, sf_dir), base)
@@ -92,7 +88,6 @@ def main() -> None:
         "sf": sf,
         "build_warehouse_sec": round(build, 3),
         "e2e_flagship_from_driver_tables_sec": round(e2e, 3),
-        "e2e_flagship_unfolded_years_sec": round(e2e_unfolded, 3),
         "daily_refresh_sec": round(refresh, 3),
         "rows_written": counts,
         "cpus": cpus,

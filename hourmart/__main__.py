@@ -35,7 +35,7 @@ def cmd_build(args) -> int:
 
     spark = _session(args)
     if args.driver_tables:
-        source = DerivedTables(spark, args.driver_tables, fold_year=not args.keep_years)
+        source = DerivedTables(spark, args.driver_tables)
     else:
         source = RawFiles(spark, {"raw_weather": args.raw_weather, "raw_prices": args.raw_prices,
                                   "raw_generation": args.raw_generation})
@@ -53,7 +53,9 @@ def cmd_query(args) -> int:
     spark = _session(args)
     fn = QUERIES[args.key]
     t = StoredTables(spark, args.warehouse)
-    df = fn(t, city=args.city) if args.city and "city" in inspect.signature(fn).parameters else fn(t)
+    if args.city and "city" not in inspect.signature(fn).parameters:
+        raise SystemExit(f"{args.key} takes no city")
+    df = fn(t, city=args.city) if args.city else fn(t)
     if args.out:
         df.write.mode("overwrite").parquet(args.out)
     else:
@@ -66,7 +68,7 @@ def cmd_refresh(args) -> int:
 
     spark = _session(args)
     if args.feed == "weather":
-        n = R.load_weather_files(spark, args.landing, args.table, period=args.period, multi_line=not args.json_lines)
+        n = R.load_weather_files(spark, args.landing, args.table, period=args.period, multi_line=False if args.json_lines else None)
     elif args.feed == "prices":
         n = R.load_price_files(spark, args.landing, args.table, period=args.period)
     else:
@@ -85,7 +87,6 @@ def main(argv: list[str] | None = None) -> int:
     b = sub.add_parser("build", help="raw -> cleaned -> star warehouse")
     b.add_argument("--warehouse", required=True)
     b.add_argument("--driver-tables")
-    b.add_argument("--keep-years", action="store_true", help="do not fold dates into one year")
     b.add_argument("--raw-weather")
     b.add_argument("--raw-prices")
     b.add_argument("--raw-generation")
@@ -102,7 +103,7 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--feed", default="weather", choices=["weather", "prices", "generation"])
     r.add_argument("--landing", required=True)
     r.add_argument("--table", required=True)
-    r.add_argument("--period", default="date", choices=["year", "month", "date"])
+    r.add_argument("--period", default=None, choices=["year", "month", "date"])
     r.add_argument("--json-lines", action="store_true")
 
     args = p.parse_args(argv)

@@ -29,11 +29,17 @@ def safe_corr(x: Column | str, y: Column | str) -> Column:
     return F.covar_pop(xx, yy) / F.nullif(F.stddev_pop(xx) * F.stddev_pop(yy), F.lit(0.0))
 
 
+def _absent(df: DataFrame, column: str) -> Column:
+    """Missing: NULL, or NaN in a floating-point column (as pandas counts it)."""
+    c = F.col(f"`{column}`")
+    return c.isNull() | F.isnan(c) if isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType)) else c.isNull()
+
+
 def null_counts(df: DataFrame, columns: list[str] | None = None,
                 name_col: str = "column_name", value_col: str = "null_count") -> DataFrame:
     """Missing values per column in one scan, as (column_name, null_count) rows."""
     cols = columns or df.columns
-    wide = df.select([F.count_if(F.col(f"`{c}`").isNull()).cast("long").alias(c) for c in cols])
+    wide = df.select([F.count_if(_absent(df, c)).cast("long").alias(c) for c in cols])
     return wide.unpivot([], [F.col(f"`{c}`") for c in cols], name_col, value_col)
 
 
@@ -111,6 +117,7 @@ def exact_quantiles(df: DataFrame, column: str, probs: list[float], buckets: int
 def describe_aggs(col: Column | str) -> list[Column]:
     """count, mean, sample std, min, max of one column (one partial aggregate)."""
     c = _c(col).cast("double")
+    c = F.when(_present(c), c)
     return [
         F.count(c).alias("count"),
         F.avg(c).alias("mean"),

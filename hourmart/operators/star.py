@@ -52,7 +52,7 @@ def dim_city(cleaned_weather: DataFrame) -> DataFrame:
     """
     stations = cleaned_weather.select("city", "latitude", "longitude").distinct()
     return stations.select(
-        F.row_number().over(Window.orderBy("city")).cast("long").alias("city_key"),
+        F.row_number().over(Window.orderBy("city", "latitude", "longitude")).cast("long").alias("city_key"),
         "city", "latitude", "longitude",
         X.city_region(F.col("city")).alias("region"),
         X.is_coastal(F.col("city")).alias("is_coastal"),

@@ -31,8 +31,8 @@ def prices_utc_to_local(t: Tables) -> DataFrame:
     return L.prices_from_utc(p)
 
 
-def prices_in_request_range(t: Tables, start: str = "2024-01-01 00:00:00",
-                            end: str = "2024-12-31 00:00:00") -> DataFrame:
+def prices_in_request_range(t: Tables, start: str = "1995-01-01 00:00:00",
+                            end: str = "1995-12-31 00:00:00") -> DataFrame:
     """ING-05: the price feed restricted to a request window (local time,
     end inclusive, as a day-ahead request from Jan 1 to Dec 31 returns it)."""
     return L.restrict_range(t.table("raw_prices"), start, end)

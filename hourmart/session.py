@@ -17,6 +17,8 @@ DEFAULTS: dict[str, str] = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.inferTimestampNTZ.enabled": "true",
+    # NANOS: pandas writes nanosecond times; Spark reads them as long, the raw reader converts them
+    "spark.sql.legacy.parquet.nanosAsLong": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

@@ -26,6 +26,8 @@ from hourmart.operators import star as ST
 
 
 PERIOD_COLUMNS = ("p_year", "p_month", "p_date")
+#: What the refresh keeps beside a raw table's columns: the landing time of each row.
+REFRESH_COLUMNS = ("_landed_at",)
 
 
 class Tables:
@@ -80,10 +82,10 @@ class LayeredTables(Tables):
 class DerivedTables(LayeredTables):
     """Raw tables from the driver's ``orders`` / ``lineitem`` (see driver_tables)."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, fold_year: bool = True):
+    def __init__(self, spark: SparkSession, sf_dir: str):
         from hourmart.sources.driver_tables import derive_raw
 
-        super().__init__(spark, derive_raw(spark, sf_dir, fold_year))
+        super().__init__(spark, derive_raw(spark, sf_dir))
         self.sf_dir = sf_dir
 
 
@@ -119,7 +121,7 @@ class StoredTables(Tables):
         if name not in S.ZONE_OF:
             raise KeyError(f"unknown table {name!r}")
         df = self.spark.read.parquet(self.path(name))
-        return df.drop(*[c for c in PERIOD_COLUMNS if c in df.columns])
+        return df.drop(*[c for c in PERIOD_COLUMNS + REFRESH_COLUMNS if c in df.columns])
 
 
 class CatalogTables(Tables):

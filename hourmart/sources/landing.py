@@ -17,8 +17,9 @@ LANDING_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm"
 
 
 def parse_landing_time(s: Column) -> Column:
-    """ISO local time string (``2024-01-01T01:00``) -> NTZ timestamp (ING-01)."""
-    return F.coalesce(F.to_timestamp_ntz(s, F.lit(LANDING_TIME_FORMAT)), F.to_timestamp_ntz(s))
+    """ISO local time string (``2024-01-01T01:00``, seconds allowed) -> NTZ timestamp (ING-01); else the load fails."""
+    to_the_minute = s.rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}$")
+    return F.when(to_the_minute, F.to_timestamp_ntz(s, F.lit(LANDING_TIME_FORMAT))).otherwise(F.to_timestamp_ntz(s))
 
 
 def format_landing_time(ts: Column) -> Column:
@@ -77,9 +78,23 @@ def with_city_attributes(rows: DataFrame, keep: tuple[str, ...] = ()) -> DataFra
 
 def read_weather_landing(spark: SparkSession, path: str) -> DataFrame:
     """Read landed weather JSON (one response object per file or per line)."""
-    docs = (spark.read.schema(S.WEATHER_LANDING).option("multiLine", "true")
-            .option("mode", "FAILFAST").json(path))
-    return with_city_attributes(weather_rows(docs))
+    texts = spark.read.text(path, wholetext=True)
+    return with_city_attributes(weather_rows(json_documents(texts, S.WEATHER_LANDING)))
+
+
+def json_documents(texts: DataFrame, schema: T.StructType, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Whole landed files (column ``value``) -> one row per JSON object in them.
+
+    A file whose non-blank lines all are objects is JSON lines; any other must
+    be a single document. What is neither, or does not parse, fails the load.
+    """
+    lines = F.filter(F.transform(F.split("value", "\n"), F.trim), lambda x: x != "")
+    by_line = (F.size(lines) > 1) & F.forall(lines, lambda x: x.startswith("{") & x.rlike(r"\}$"))
+    single = F.when(F.json_array_length(F.concat(F.lit("["), F.col("value"), F.lit("]"))) == 1, F.array("value")) \
+        .otherwise(F.array(F.raise_error("a landed file is neither one JSON document nor JSON lines").cast("string")))
+    docs = texts.select(*keep, F.explode(F.when(by_line, lines).otherwise(single)).alias("value"))
+    parsed = docs.select(*keep, F.from_json("value", schema, {"mode": "FAILFAST"}).alias("d"))
+    return parsed.select("d.*", *keep)
 
 
 def weather_landing_docs(raw_weather: DataFrame) -> DataFrame:
@@ -124,10 +139,14 @@ def prices_from_utc(series: DataFrame, ts_col: str = "timestamp_utc", price_col:
 
 
 def generation_long(raw_generation: DataFrame) -> DataFrame:
-    """Wide generation table -> (timestamp, country, source, mw), absent values dropped."""
+    """Wide generation table -> (timestamp, country, source, mw), absent values dropped;
+    an hour without any value keeps one row, of the first source with NULL, so it is not lost."""
     sources = [F.col(f"`{src}`") for src, _ in S.GENERATION_SOURCES]
-    return (raw_generation.unpivot(["timestamp", "country"], sources, "source", "mw")
-            .where(F.col("mw").isNotNull()))
+    names = [src for src, _ in S.GENERATION_SOURCES]
+    empty = F.coalesce(*[F.col(f"`{n}`") for n in names]).isNull()
+    return (raw_generation.withColumn("_empty", empty)
+            .unpivot(["timestamp", "country", "_empty"], sources, "source", "mw")
+            .where(F.col("mw").isNotNull() | (F.col("_empty") & (F.col("source") == F.lit(names[0])))).drop("_empty"))
 
 
 def generation_wide(long: DataFrame, keys: tuple[str, ...] = ("timestamp", "country")) -> DataFrame:
@@ -167,8 +186,15 @@ def check_raw_schema(df: DataFrame, table: str) -> DataFrame:
 
 
 def read_raw_parquet(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """Raw Parquet with the declared schema (SRC-01..04); no inference."""
-    return spark.read.schema(S.RAW_SCHEMAS[table]).parquet(path)
+    """Raw Parquet as the declared columns (SRC-01..04); a missing one fails, nanosecond times are converted.
+
+    The footer's schema is read to see both; the data is cast to the declared types.
+    """
+    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")  # see NANOS in hourmart.session
+    df = spark.read.parquet(path)
+    times = [f.name for f in S.RAW_SCHEMAS[table].fields if f.dataType.simpleString().startswith("timestamp")]
+    longs = {c: nanos_to_ntz(F.col(c)) for c in times if c in df.columns and df.schema[c].dataType == T.LongType()}
+    return check_raw_schema(df.withColumns(longs) if longs else df, table)
 
 
 def nanos_to_ntz(col: Column) -> Column:
@@ -177,10 +203,13 @@ def nanos_to_ntz(col: Column) -> Column:
     Pure interval arithmetic from the epoch: no session time zone involved.
     Needs ``spark.sql.legacy.parquet.nanosAsLong=true`` on the reading session.
     """
-    micros = F.floor(col / F.lit(1000))
-    return (F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-            + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0),
-                                 (micros / F.lit(1000000)).cast("decimal(18,6)")))
+    return micros_to_ntz(F.call_function("div", col - F.pmod(col, F.lit(1000)), F.lit(1000)))
+
+
+def micros_to_ntz(micros: Column) -> Column:
+    """Epoch microseconds -> NTZ holding the UTC clock, in whole-number arithmetic."""
+    seconds = (micros.cast("decimal(20,0)") * F.lit("0.000001").cast("decimal(7,6)")).cast("decimal(18,6)")
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
 
 
 def dedupe_latest(df: DataFrame, keys: list[str], order_col: str) -> DataFrame:
@@ -231,8 +260,9 @@ GENERATION_LANDING = T.StructType([T.StructField("timestamp_utc", T.StringType()
 
 
 def parse_utc_instant(s: Column) -> Column:
-    """ISO instant string (``...Z``, ``...+00:00`` or bare) -> NTZ holding the UTC clock."""
-    return F.to_timestamp_ntz(F.regexp_replace(s, r"(Z|[+-]00:?00)$", ""))
+    """ISO instant string (``...Z``, any offset, or bare UTC) -> NTZ holding the UTC clock."""
+    zoned = F.when(s.rlike(r"(Z|[+-]\d{2}:?\d{2})$"), s).otherwise(F.concat(s, F.lit("Z")))
+    return micros_to_ntz(F.unix_micros(F.to_timestamp(F.regexp_replace(zoned, r"([+-]\d{2})(\d{2})$", "$1:$2"))))
 
 
 def price_rows(landed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

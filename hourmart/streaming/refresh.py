@@ -5,7 +5,8 @@ stream picks up new files (``trigger(availableNow=True)`` processes what is
 there and stops, which is how a daily scheduled run uses it); every
 micro-batch is merged into the raw table with :func:`merge_into_partitions`:
 
-* rows are keyed by (timestamp, city); a later landed file wins;
+* rows are keyed by (timestamp, city); a later landed file wins, whatever
+  the order in which files are loaded (the landing time is stored);
 * only the partitions the batch touches are read and rewritten (dynamic
   partition overwrite), so a day's load costs a day's data, not the table;
 * the merged result is checkpointed to the shared checkpoint folder before
@@ -30,7 +31,7 @@ from pyspark.sql.streaming import StreamingQuery
 from hourmart import schemas as S
 from hourmart.sinks.writer import partition_column, with_period
 from hourmart.sources.landing import (GENERATION_LANDING, PRICE_LANDING, dedupe_latest, generation_rows,
-                                      price_rows, weather_rows, with_city_attributes)
+                                      json_documents, price_rows, weather_rows, with_city_attributes)
 
 ORDER_COL = "_landed_at"
 WEATHER_KEYS = ["timestamp", "city"]
@@ -48,7 +49,7 @@ def _read_partitions(spark: SparkSession, path: str, pcol: str, values: list, sc
     """
     if not values:
         return None
-    names = ",".join(str(v) for v in values)
+    names = ",".join("__HIVE_DEFAULT_PARTITION__" if v is None else str(v) for v in values)
     try:
         return (spark.read.schema(schema).option("basePath", path)
                 .parquet(f"{path.rstrip('/')}/{pcol}={{{names}}}"))
@@ -59,25 +60,40 @@ def _read_partitions(spark: SparkSession, path: str, pcol: str, values: list, sc
 
 
 def merge_into_partitions(new_rows: DataFrame, path: str, table: str, keys: list[str],
-                          period: str = "date", order_col: str = ORDER_COL) -> int:
+                          period: str | None = None, order_col: str = ORDER_COL, patch: bool = False) -> int:
     """Upsert ``new_rows`` (with an ``order_col``) into the table at ``path``.
 
+    The row landed last wins, also against stored rows, whose ``order_col`` is
+    kept in the table (rows without one, of a full build, are oldest). With
+    ``patch`` this holds for each column, so a NULL never replaces a value.
+    Rows with a NULL key have nothing to be merged on: all distinct ones stay.
+    ``period`` is that of the stored table; ``date`` for a new one if not given.
+
     Returns the number of rows written to the touched partitions.
     """
     spark = new_rows.sparkSession
+    stored = stored_period(spark, path)
+    if stored and period and stored != period:
+        raise ValueError(f"{path} is partitioned by {stored}, not by {period}")
+    period = stored or period or "date"
     pcol = partition_column(table, period)
     new = with_period(new_rows.withColumn(order_col, F.col(order_col).cast("long")), table, period)
     # The periods in a batch are few (a day's load touches one or two): only
     # those partition folders of the existing table are read and replaced.
     touched = [r[0] for r in new.select(pcol).distinct().collect()]
-    schema = T.StructType([f for f in new.schema.fields if f.name != order_col])
+    schema = new.schema
     existing = _read_partitions(spark, path, pcol, touched, schema)
     if existing is not None:
-        old = existing.withColumn(order_col, F.lit(-1).cast("long"))
+        old = existing.withColumn(order_col, F.coalesce(order_col, F.lit(-1).cast("long")))
         both = old.unionByName(new.select(*old.columns))
     else:
         both = new
-    merged = dedupe_latest(both, keys + [pcol], order_col).drop(order_col)
+    keyed = F.lit(True)
+    for k in keys:
+        keyed = keyed & F.col(k).isNotNull()
+    one = _patched(both.where(keyed), keys + [pcol], order_col) if patch \
+        else dedupe_latest(both.where(keyed), keys + [pcol], order_col)
+    merged = one.unionByName(both.where(~keyed).distinct())
     # Reliable checkpoint: the overwrite below must not read the partitions it replaces.
     merged = merged.checkpoint(eager=True)
     obs = Observation("merged_rows")
@@ -91,25 +107,44 @@ def merge_into_partitions(new_rows: DataFrame, path: str, table: str, keys: list
     return int(obs.get["rows"])
 
 
+def stored_period(spark: SparkSession, path: str) -> str | None:
+    """The period of an existing table's partition folders; None if there are none."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(hadoop):
+        return None
+    names = {str(s.getPath().getName()).partition("=")[0] for s in fs.listStatus(hadoop)}
+    return next((c.removeprefix("p_") for c in ("p_date", "p_month", "p_year") if c in names), None)
+
+
+def _patched(rows: DataFrame, keys: list[str], order_col: str) -> DataFrame:
+    """One row per key: of every other column the value that is not NULL and landed last."""
+    others = [c for c in rows.columns if c not in keys and c != order_col]
+    latest = [F.max_by(F.col(f"`{c}`"), F.when(F.col(f"`{c}`").isNotNull(), F.col(order_col))).alias(c) for c in others]
+    return rows.groupBy(*keys).agg(*latest, F.max(order_col).alias(order_col)).select(*[f"`{c}`" for c in rows.columns])
+
+
 def weather_batch_rows(docs: DataFrame) -> DataFrame:
     """Landed documents (with ``_landed_at``) -> raw_weather rows + ``_landed_at``."""
     return with_city_attributes(weather_rows(docs, keep=(ORDER_COL,)), keep=(ORDER_COL,))
 
 
-def load_weather_files(spark: SparkSession, landing_path: str, table_path: str, period: str = "date",
-                       multi_line: bool = True) -> int:
+def load_weather_files(spark: SparkSession, landing_path: str, table_path: str, period: str | None = None,
+                       multi_line: bool | None = None) -> int:
     """Batch form of the refresh: merge the files at ``landing_path`` now.
 
-    ``multi_line=True`` reads one response object per file (as an API call
-    lands it); ``False`` reads JSON lines (one response per line).
+    Each file is one response object or JSON lines; ``multi_line=False`` says
+    that all are JSON lines, which lets large files be split.
     """
-    docs = _landing_reader(spark.read, multi_line).json(landing_path).select("*", _landed_at())
+    docs = _weather_docs(spark.read, landing_path, multi_line)
     return merge_into_partitions(weather_batch_rows(docs), table_path, "raw_weather", WEATHER_KEYS, period)
 
 
-def _landing_reader(reader, multi_line: bool = True):
-    return (reader.schema(S.WEATHER_LANDING).option("multiLine", "true" if multi_line else "false")
-            .option("mode", "FAILFAST"))
+def _weather_docs(reader, path: str, multi_line: bool | None) -> DataFrame:
+    if multi_line is False:
+        return reader.schema(S.WEATHER_LANDING).option("mode", "FAILFAST").json(path).select("*", _landed_at())
+    texts = reader.text(path, wholetext=True).select("value", _landed_at())
+    return json_documents(texts, S.WEATHER_LANDING, keep=(ORDER_COL,))
 
 
 def _landed_at():
@@ -128,23 +163,22 @@ def _feed(feed: str):
 
 
 def start_refresh(spark: SparkSession, feed: str, landing_dir: str, table_path: str, checkpoint_location: str,
-                  period: str = "date", available_now: bool = True, multi_line: bool | None = None) -> StreamingQuery:
+                  period: str | None = None, available_now: bool = True, multi_line: bool | None = None) -> StreamingQuery:
     """Start the refresh stream of one feed (weather, prices or generation).
 
     New files in ``landing_dir`` are read as they land; each micro-batch is
     merged with :func:`merge_into_partitions`. With ``available_now`` the
     query processes what has landed and stops (a scheduled daily run).
-    Weather responses are whole JSON documents per file by default, market
-    feeds JSON lines.
+    Weather files are JSON documents or JSON lines, market feeds JSON lines.
     """
     schema, rows, table, keys = _feed(feed)
-    multi = (feed == "weather") if multi_line is None else multi_line
-    reader = spark.readStream.schema(schema).option("multiLine", "true" if multi else "false") \
-        .option("mode", "FAILFAST")
-    docs = reader.json(landing_dir).select("*", _landed_at())
+    if feed == "weather":
+        docs = _weather_docs(spark.readStream, landing_dir, multi_line)
+    else:
+        docs = spark.readStream.schema(schema).option("mode", "FAILFAST").json(landing_dir).select("*", _landed_at())
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
-        merge_into_partitions(rows(batch), table_path, table, keys, period)
+        merge_into_partitions(rows(batch), table_path, table, keys, period, patch=feed == "generation")
 
     w = docs.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint_location)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 hour")
@@ -152,8 +186,8 @@ def start_refresh(spark: SparkSession, feed: str, landing_dir: str, table_path:
 
 
 def start_weather_refresh(spark: SparkSession, landing_dir: str, table_path: str, checkpoint_location: str,
-                          period: str = "date", available_now: bool = True,
-                          multi_line: bool = True) -> StreamingQuery:
+                          period: str | None = None, available_now: bool = True,
+                          multi_line: bool | None = None) -> StreamingQuery:
     """The weather feed's refresh stream (see :func:`start_refresh`)."""
     return start_refresh(spark, "weather", landing_dir, table_path, checkpoint_location, period, available_now,
                          multi_line)
@@ -169,7 +203,7 @@ def _market_reader(spark: SparkSession, schema):
     return spark.read.schema(schema).option("mode", "FAILFAST")
 
 
-def load_price_files(spark: SparkSession, landing_path: str, table_path: str, period: str = "date") -> int:
+def load_price_files(spark: SparkSession, landing_path: str, table_path: str, period: str | None = None) -> int:
     """Merge landed day-ahead prices (JSON lines of ``timestamp_utc``, ``price``)
     into a raw_prices table partitioned by local period. The stored table
     keeps ``timestamp_utc`` next to the raw columns (the merge key)."""
@@ -177,10 +211,10 @@ def load_price_files(spark: SparkSession, landing_path: str, table_path: str, pe
     return merge_into_partitions(price_rows(lines, keep=(ORDER_COL,)), table_path, "raw_prices", MARKET_KEYS, period)
 
 
-def load_generation_files(spark: SparkSession, landing_path: str, table_path: str, period: str = "date") -> int:
+def load_generation_files(spark: SparkSession, landing_path: str, table_path: str, period: str | None = None) -> int:
     """Merge landed generation (JSON lines of ``timestamp_utc``, ``source``,
-    ``mw``) into a raw_generation table; a landed hour replaces that hour's row,
-    so a file carries all sources of the hours it covers."""
+    ``mw``) into a raw_generation table, source by source: a file may hold any
+    of the sources of the hours it covers."""
     lines = _market_reader(spark, GENERATION_LANDING).json(landing_path).select("*", _landed_at())
     return merge_into_partitions(generation_rows(lines, keep=(ORDER_COL,)), table_path, "raw_generation",
-                                 MARKET_KEYS, period)
+                                 MARKET_KEYS, period, patch=True)
