@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Distinct segments kept per Python worker before the cache starts again.
 CACHE_SEGMENTS = 400_000
@@ -39,7 +40,7 @@ def _cut_offsets(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 def split_chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of a string column with about ``limit`` bytes each; a longer text stands alone."""
-    size = np.asarray(pa.compute.fill_null(pa.compute.binary_length(column), 0), dtype=np.int64)
+    size = np.asarray(pc.fill_null(pc.binary_length(column), 0), dtype=np.int64)
     start, total = 0, 0
     for i, n in enumerate(size):
         if total and total + n > limit:
@@ -65,7 +66,7 @@ class SegmentEncoder:
 
     def _segments(self, column: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
         """The segments of all texts, and how many segments each text has."""
-        column = pa.compute.fill_null(column.cast(pa.large_string()), "")
+        column = pc.fill_null(column.cast(pa.large_string()), "")
         column = pa.concat_arrays([column])  # offsets from 0
         n = len(column)
         offsets = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset:column.offset + n + 1]
