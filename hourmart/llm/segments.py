@@ -1,18 +1,20 @@
 """Exact tokenization of whole texts through a cache of text segments.
 
-A byte-level or word-level BPE never forms a token across a single blank
-that stands between two visible characters: both pre-tokenizers start a new
-piece there, and special strings hold no blank. So a text's ids are the ids
-of its segments, cut before such blanks, one after the other. The segments
-of a batch repeat often; each distinct one is encoded once.
-
-Cuts are made on UTF-8 bytes. The character on either side of the blank must
+A byte-level or word-level BPE never forms a token across a single blank or
+line feed that stands between two visible characters, nor between an ASCII
+letter and one of ``.,;:!?``: both pre-tokenizers start a new piece there, and
+special strings hold neither. So a text's ids are the ids of its segments, cut
+before such characters, one after the other. The segments of a batch repeat
+often; each distinct one is encoded once.
+
+Cuts are made on UTF-8 bytes. The character on either side of the space must
 be ASCII 0x21-0x7E or a two-byte character from U+00C0 on, none of which is
 white space; anywhere else there is no cut and the segment is just longer.
 """
 
 from __future__ import annotations
 
+import itertools
 import os
 from collections.abc import Iterator
 
@@ -21,21 +23,29 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Distinct segments kept per Python worker before the cache starts again.
-CACHE_SEGMENTS = 400_000
+CACHE_SEGMENTS = 700_000
 #: Bytes of text handled at once.
 CHUNK_BYTES = 8 << 20
 
 
+_STOP, _LETTER = np.zeros(256, bool), np.zeros(256, bool)
+_STOP[list(b".,;:!?")] = True
+_LETTER[list(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")] = True
+
+
 def _cut_offsets(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """All segment starts of the concatenated texts, the texts' own starts included."""
     if len(data) < 3:
         return np.unique(offsets)
-    blank = np.flatnonzero(data[1:-1] == 0x20) + 1
-    before, after = data[blank - 1], data[blank + 1]
-    before2 = data[np.maximum(blank - 2, 0)]
+    space = np.flatnonzero((data[1:-1] == 0x20) | (data[1:-1] == 0x0A)) + 1
+    before, after = data[space - 1], data[space + 1]
+    before2 = data[np.maximum(space - 2, 0)]
     left = ((before > 0x20) & (before < 0x7F)) | ((before >= 0x80) & (before2 >= 0xC3) & (before2 <= 0xDF))
     right = ((after > 0x20) & (after < 0x7F)) | ((after >= 0xC3) & (after <= 0xDF))
-    return np.unique(np.concatenate([offsets, blank[left & right]]))
+    stop = np.flatnonzero(_STOP[data[1:]]) + 1
+    cut = np.zeros(len(data) + 1, bool)
+    cut[offsets] = cut[space[left & right]] = cut[stop[_LETTER[data[stop - 1]]]] = True
+    return np.flatnonzero(cut)
 
 
 def split_chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
@@ -62,7 +72,11 @@ class SegmentEncoder:
         self._tokenizer = Tokenizer.from_file(tokenizer_path)
         self._tokenizer.no_truncation()
         self._tokenizer.no_padding()
-        self._known: dict[str, np.ndarray] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self._known: dict[str, int] = {}  # segment -> its number
+        self._ids, self._end = np.zeros(0, np.uint32), np.zeros(1, np.int64)  # all ids, and where each number's end
 
     def _segments(self, column: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
         """The segments of all texts, and how many segments each text has."""
@@ -81,29 +95,29 @@ class SegmentEncoder:
         where = np.searchsorted(cuts, offsets)
         return pieces.dictionary_encode(), np.diff(where)
 
-    def _encode(self, pieces: pa.DictionaryArray) -> list[np.ndarray]:
+    def _encode(self, pieces: pa.DictionaryArray) -> np.ndarray:
+        """The number of each distinct segment; new ones are encoded."""
         words = pieces.dictionary.to_pylist()
+        if len(self._known) + len(words) > CACHE_SEGMENTS or len(self._ids) > 8 * CACHE_SEGMENTS:
+            self._forget()
         missing = [w for w in words if w not in self._known]
-        fresh: dict[str, np.ndarray] = {}
+        ids, size = [self._ids], []
         for at in range(0, len(missing), 20_000):
-            part = missing[at:at + 20_000]
-            fresh |= {w: np.array(e.ids, dtype=np.uint32)
-                      for w, e in zip(part, self._tokenizer.encode_batch_fast(part, add_special_tokens=False))}
-        found = [fresh[w] if w in fresh else self._known[w] for w in words]
-        if len(self._known) + len(fresh) > CACHE_SEGMENTS:
-            self._known = {}
-        if len(fresh) <= CACHE_SEGMENTS:
-            self._known |= {w: i for w, i in fresh.items() if len(w) <= 40}
-        return found
+            found = [e.ids for e in self._tokenizer.encode_batch_fast(missing[at:at + 20_000], add_special_tokens=False)]
+            size += map(len, found)
+            ids.append(np.fromiter(itertools.chain.from_iterable(found), np.uint32))
+        self._known.update(zip(missing, range(len(self._known), len(self._known) + len(missing))))
+        self._ids = np.concatenate(ids)
+        self._end = np.concatenate([self._end, self._end[-1] + np.cumsum(np.array(size, np.int64))])
+        return np.fromiter(map(self._known.__getitem__, words), np.int64, len(words))
 
     def counts(self, column: pa.Array) -> np.ndarray:
         """Number of ids of each text (null counts as empty)."""
         out = np.zeros(len(column), dtype=np.int64)
         for a, b in split_chunks(column):
             pieces, per_text = self._segments(column.slice(a, b - a))
-            size = np.array([len(x) for x in self._encode(pieces)], dtype=np.int64)
-            if not len(size):
-                continue
+            number = self._encode(pieces)
+            size = self._end[number + 1] - self._end[number]
             total = np.concatenate([[0], np.cumsum(size[np.asarray(pieces.indices)])])
             ends = np.cumsum(per_text)
             out[a:b] = total[ends] - total[ends - per_text]
@@ -113,15 +127,8 @@ class SegmentEncoder:
         """(first row, ids of a run of rows, their offsets) for run after run of the column."""
         for a, b in split_chunks(column):
             pieces, per_text = self._segments(column.slice(a, b - a))
-            known = self._encode(pieces)
-            size = np.array([len(x) for x in known], dtype=np.int64)
-            if not len(size):
-                yield a, np.zeros(0, np.uint32), np.zeros(b - a + 1, np.int64)
-                continue
-            flat = np.concatenate(known) if known else np.zeros(0, np.uint32)
-            start = np.concatenate([[0], np.cumsum(size)[:-1]])
-            index = np.asarray(pieces.indices)
-            each = size[index]
+            number = self._encode(pieces)[np.asarray(pieces.indices)]
+            start, each = self._end[number], self._end[number + 1] - self._end[number]
             total = np.concatenate([[0], np.cumsum(each)])
-            gather = np.repeat(start[index] - total[:-1], each) + np.arange(total[-1])
-            yield a, flat[gather], total[np.concatenate([[0], np.cumsum(per_text)])]
+            gather = np.repeat(start - total[:-1], each) + np.arange(total[-1])
+            yield a, self._ids[gather], total[np.concatenate([[0], np.cumsum(per_text)])]
