@@ -22,12 +22,8 @@ joined back to their record when it spans them.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
 import pandas as pd
-import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -39,7 +35,7 @@ END = "\r\n\r\n"
 SEGMENT_BYTES = 4 << 20
 
 
-def _header(name: str, value: F.Column) -> F.Column:
+def _header(name: str, value: Column) -> Column:
     """A header line, or nothing for null. Control characters and blanks can't stand in a value."""
     clean = F.regexp_replace(value.cast("string"), r"[\x00-\x20\x7F]", "%20")
     return F.coalesce(F.concat(F.lit(f"{name}: "), clean, F.lit("\r\n")), F.lit(""))
@@ -58,7 +54,7 @@ def write_warc(pages: DataFrame, path: str, min_bytes: int = 1000,
     rows = rows.join(sized_broadcast(copies), ["digest", "n_bytes"], "left")
     revisit = F.col("owner").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("owner"))
 
-    def record_id(page: F.Column) -> F.Column:
+    def record_id(page: Column) -> Column:
         h = F.md5(F.concat_ws(":", F.lit("page"), page.cast("string"), F.col("digest")).cast("binary"))
         return F.concat(F.lit("<urn:uuid:"), F.substring(h, 1, 8), F.lit("-"), F.substring(h, 9, 4), F.lit("-"),
                         F.substring(h, 13, 4), F.lit("-"), F.substring(h, 17, 4), F.lit("-"),
@@ -84,49 +80,27 @@ def write_warc(pages: DataFrame, path: str, min_bytes: int = 1000,
     rows.select(record.alias("value")).write.option("lineSep", "\n").text(path)
 
 
-def _chunks(spark: SparkSession, path: str) -> DataFrame:
-    """What stands between two places of the magic, as bytes, in file order within each split."""
-    return (spark.read.schema("value string").option("lineSep", MAGIC).text(path)
-            .select(F.col("_metadata.file_path").alias("file"),
-                    F.col("_metadata.file_block_start").alias("split"),
-                    F.col("value").cast("binary").alias("chunk")))
-
-
-def _head(chunk: bytes) -> tuple[int, int, dict[str, str]] | None:
-    """(header bytes, content bytes, headers) if a record can start here."""
-    end = chunk.find(b"\r\n\r\n")
-    if end < 0:
-        return None
-    lines = (line.partition(": ") for line in chunk[:end].decode("utf-8", "replace").split("\r\n"))
-    fields = {name.lower(): value for name, _, value in lines}
-    length = fields.get("content-length", "")
-    return (end + 4, int(length), fields) if length.isascii() and length.isdigit() and "warc-type" in fields else None
-
+def _field(head: Column, name: str, value: str = r"[^\r\n]*") -> Column:
+    """The value of a header line, null where it is missing or has another form."""
+    return F.get(F.regexp_extract_all(head, F.lit(rf"(?i)(?:^|\r\n){name}: ({value})(?=\r\n|$)"), F.lit(1)), F.lit(0))
 
-def _located(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, np.ndarray, np.ndarray, list]]:
-    """(splits of the batch's rows, offset within the split, size with magic, chunks): splits come one after another."""
-    at, pos = None, 0
-    for b in batches:
-        split = list(zip(b.column("file").to_pylist(), b.column("split").to_pylist()))
-        chunks = b.column("chunk").to_pylist()
-        size = np.array([len(c) + len(MAGIC) for c in chunks], np.int64)
-        local = np.empty(len(chunks), np.int64)
-        for i, s in enumerate(split):
-            if s != at:
-                at, pos = s, 0
-            local[i] = pos
-            pos += int(size[i])
-        yield split, local, size, chunks
 
-
-def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for split, local, size, chunks in _located(batches):
-        heads = [_head(c) for c in chunks]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([s[0] for s in split], pa.string()), pa.array([s[1] for s in split], pa.int64()),
-             pa.array(local), pa.array(size),
-             pa.array([None if h is None else len(MAGIC) + h[0] + h[1] + 4 for h in heads], pa.int64())],
-            ["file", "split", "local", "size", "record"])
+def _chunks(spark: SparkSession, path: str) -> DataFrame:
+    """(file, split, seq, size, record, chunk): what stands between two places of the magic.
+
+    ``seq`` rises in file order within each split of a file. ``record`` is the whole record's size where
+    a record can start. The stored rows keep split and ``seq`` as they were read, so a later read does
+    not depend on how many executors are left.
+    """
+    rows = spark.read.schema("value string").option("lineSep", MAGIC).text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("seq"), F.col("value").alias("chunk"))
+    head = F.substring_index("chunk", END, 1)
+    length = _field(head, "content-length", "[0-9]{1,15}").cast("long")
+    able = F.contains("chunk", F.lit(END)) & _field(head, "warc-type").isNotNull()
+    return store(rows.select(
+        "file", "split", "seq", (F.octet_length("chunk") + F.lit(len(MAGIC))).cast("long").alias("size"),
+        F.when(able, F.lit(len(MAGIC) + 8) + F.octet_length(head) + length).alias("record"), "chunk"), "warc-chunks")
 
 
 def _exits(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -172,50 +146,37 @@ def verified_records(candidates: DataFrame, segment_bytes: int = SEGMENT_BYTES)
         .applyInPandas(_walk, "file string, at long, then long")
 
 
-RECORD = ("file string, page_id long, record_type string, url string, refers_to long, payload binary, "
-          "header_digest string, header_bytes long")
-
-
-def _number(text: str | None) -> int | None:
-    try:
-        return None if text is None else int(text)
-    except ValueError:
-        return None
-
-
-def _parsed(file: str, raw: bytes) -> dict:
-    head, length, fields = _head(raw)
-    block = raw[head:head + length]
-    payload = block[block.find(b"\r\n\r\n") + 4:]
-    return {"file": file, "page_id": _number(fields.get("x-page-id")), "record_type": fields["warc-type"],
-            "url": fields.get("warc-target-uri"), "refers_to": _number(fields.get("x-refers-to-page")),
-            "payload": None if fields["warc-type"] == "revisit" else payload,
-            "header_digest": fields.get("warc-payload-digest", "").removeprefix("sha1:"),
-            "header_bytes": _number(fields.get("x-payload-bytes"))}
-
-
-_RECORD_ARROW = pa.schema([("file", pa.string()), ("page_id", pa.int64()), ("record_type", pa.string()),
-                           ("url", pa.string()), ("refers_to", pa.int64()), ("payload", pa.binary()),
-                           ("header_digest", pa.string()), ("header_bytes", pa.int64())])
-
-
-def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        rows = [_parsed(f, c) for f, c in zip(b.column("file").to_pylist(), b.column("chunk").to_pylist())]
-        yield pa.RecordBatch.from_pylist(rows, _RECORD_ARROW)
+def _records(chunks: DataFrame) -> DataFrame:
+    """(file, chunk) of whole records -> their fields."""
+    raw = F.col("chunk").cast("binary")
+    rows = chunks.select("file", raw.alias("raw"), F.substring_index("chunk", END, 1).alias("head"))
+    block = F.substring("raw", F.octet_length("head") + F.lit(5), _field(F.col("head"), "content-length").cast("int"))
+    rows = rows.select("file", "head", block.alias("block"), _field(F.col("head"), "warc-type").alias("record_type"))
+    http = F.octet_length(F.substring_index(F.col("block").cast("string"), END, 1))
+    return rows.select(
+        "file", _field(F.col("head"), "x-page-id", "-?[0-9]{1,19}").cast("long").alias("page_id"), "record_type",
+        _field(F.col("head"), "warc-target-uri").alias("url"),
+        _field(F.col("head"), "x-refers-to-page", "-?[0-9]{1,19}").cast("long").alias("refers_to"),
+        F.when(F.col("record_type") != "revisit", F.substring("block", http + F.lit(5), F.octet_length("block")))
+        .alias("payload"),
+        _field(F.col("head"), "warc-payload-digest", "sha1:[0-9a-f]*").substr(F.lit(6), F.lit(40)).alias("header_digest"),
+        _field(F.col("head"), "x-payload-bytes", "[0-9]{1,15}").cast("long").alias("header_bytes"))
 
 
 def read_warc(spark: SparkSession, path: str, segment_bytes: int = SEGMENT_BYTES) -> DataFrame:
     """The real records under ``path``: file, page_id, record_type, url, refers_to, payload (null for a
     revisit), header_digest and header_bytes (the payload's digest and size as the header states them)."""
-    found = store(_chunks(spark, path).mapInArrow(
-        _candidates, "file string, split long, local long, size long, record long"), "warc-candidates")
-    w = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    found = _chunks(spark, path)
+    # narrow rows from here on; a window holds one split, or one row per split of a file
+    before = Window.partitionBy("file", "split").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
+    local = F.coalesce(F.sum("size").over(before), F.lit(0))
+    splits = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     base = (found.groupBy("file", "split").agg(F.sum("size").alias("bytes"))
-            .select("file", "split", F.coalesce(F.sum("bytes").over(w), F.lit(0)).alias("base")))
-    place = store(found.join(base, ["file", "split"]).select(
-        "file", "split", "local", "size", "record", (F.col("base") + F.col("local") - F.lit(len(MAGIC))).alias("at")),
-        "warc-places").where(F.col("at") >= 0)
+            .select("file", "split", F.coalesce(F.sum("bytes").over(splits), F.lit(0)).alias("base")))
+    place = store(found.select("file", "split", "seq", "size", "record", local.alias("local")).join(base, ["file", "split"])
+                  .select("file", "seq", "size", "record",
+                          (F.col("base") + F.col("local") - F.lit(len(MAGIC))).alias("at")), "warc-places") \
+        .where(F.col("at") >= 0)
     candidates = place.where(F.col("record").isNotNull()).select("file", "at", (F.col("at") + F.col("record")).alias("then"))
     real = store(verified_records(candidates, segment_bytes), "warc-real")
 
@@ -223,29 +184,18 @@ def read_warc(spark: SparkSession, path: str, segment_bytes: int = SEGMENT_BYTES
     odd = store(place.join(real, ["file", "at"], "left").where(
         F.col("then").isNull() | (F.col("then") > F.col("at") + F.col("size"))), "warc-odd")
     n_odd = odd.count()
-    chunks = _chunks(spark, path).mapInArrow(_numbered, "file string, split long, local long, chunk binary")
-    rest = chunks.where((F.col("split") > 0) | (F.col("local") > 0))  # what stands before the first magic
+    able = found.where(F.col("record").isNotNull())  # all else is inside payloads, or before a file's first magic
     if not n_odd:
-        return rest.select("file", "chunk").mapInArrow(_whole, RECORD)
-    keys = ["file", "split", "local"]
-    single = rest.join(sized_broadcast(odd.select(*keys), n_odd), keys, "left_anti")
+        return _records(able)
+    single = able.join(sized_broadcast(odd.select("seq"), n_odd), "seq", "left_anti")
     # a span's chunks lie between its start and its end: the last start at or before each chunk is its record
-    before = Window.partitionBy("file").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
-    owner = odd.select(*keys, "at", F.last(F.when(F.col("then").isNotNull(), F.col("at")), True).over(before).alias("own"),
-                       F.last("then", True).over(before).alias("end")).where(F.col("at") < F.col("end"))
-    spans = (rest.join(sized_broadcast(owner.select(*keys, "at", "own"), n_odd), keys)
+    upto = Window.partitionBy("file").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    owner = odd.select("seq", "at", "file", F.last(F.when(F.col("then").isNotNull(), F.col("at")), True).over(upto).alias("own"),
+                       F.last("then", True).over(upto).alias("end")).where(F.col("at") < F.col("end"))
+    spans = (found.select("seq", "chunk").join(sized_broadcast(owner.select("seq", "at", "file", "own"), n_odd), "seq")
              .groupBy("file", "own").agg(F.array_sort(F.collect_list(F.struct("at", "chunk"))).alias("parts"))
-             .select("file", F.expr(f"aggregate(parts, cast(null as binary), (a, p) -> "
-                                    f"if(a is null, p.chunk, concat(a, cast('{MAGIC[:-2]}\\r\\n' as binary), p.chunk)))")
-                     .alias("chunk")))
-    return single.select("file", "chunk").unionByName(spans).mapInArrow(_whole, RECORD)
-
-
-def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for split, local, _, chunks in _located(batches):
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([s[0] for s in split], pa.string()), pa.array([s[1] for s in split], pa.int64()),
-             pa.array(local), pa.array(chunks, pa.binary())], ["file", "split", "local", "chunk"])
+             .select("file", F.array_join(F.col("parts.chunk"), MAGIC).alias("chunk")))
+    return _records(single.select("file", "chunk").unionByName(spans))
 
 
 def payload_summary(records: DataFrame) -> DataFrame:
