@@ -53,11 +53,12 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
-def store(df: DataFrame, name: str) -> DataFrame:
+def store(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage,
-    and a lost executor costs a re-read instead of a recomputation."""
+    and a lost executor costs a re-read instead of a recomputation.
+    ``compression``: for tables that hold whole texts; else the session's."""
     path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -100,7 +100,7 @@ def _chunks(spark: SparkSession, path: str) -> DataFrame:
     able = F.contains("chunk", F.lit(END)) & _field(head, "warc-type").isNotNull()
     return store(rows.select(
         "file", "split", "seq", (F.octet_length("chunk") + F.lit(len(MAGIC))).cast("long").alias("size"),
-        F.when(able, F.lit(len(MAGIC) + 8) + F.octet_length(head) + length).alias("record"), "chunk"), "warc-chunks")
+        F.when(able, F.lit(len(MAGIC) + 8) + F.octet_length(head) + length).alias("record"), "chunk"), "warc-chunks", "zstd")
 
 
 def _exits(pdf: pd.DataFrame) -> pd.DataFrame:
