@@ -13,6 +13,10 @@ of 0.8 or more. Rows with the same doc_id are one document. Decisions:
 * decontamination: documents that hold a benchmark window go.
 * secrets: every span is replaced by ``[SECRET]``; ``n_chars`` follows the text.
 * packing: sequences of 2048 tokens; a row per piece.
+
+A null doc_id is never a copy of another document. Repeated rows of a doc_id
+stay or go together. An empty table stays empty. Other columns pass through
+unchanged, whatever their names; packing drops them.
 """
 
 from __future__ import annotations
@@ -32,11 +36,16 @@ def _without(docs: DataFrame, dropped: DataFrame, keys: list[str]) -> DataFrame:
     return docs.join(sized_broadcast(store(dropped.distinct(), "dropped")), keys, "left_anti")
 
 
+def _row(docs: DataFrame) -> F.Column:
+    """The whole row as one column: no column of ``docs`` can clash with what an operator adds."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+
+
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
     trees = langid.fit(docs, F.col("doc_id").isNotNull() & ~held_out())
-    found = langid.predict(docs, trees)
-    return found.where((F.col("lang_pred") != "und") & (F.col("bits_per_byte") < RAW_BITS)).select(docs.columns)
+    found = langid.predict(docs.select(_row(docs), "text"), trees)
+    return found.where((F.col("lang_pred") != "und") & (F.col("bits_per_byte") < RAW_BITS)).select("row.*")
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,20 +57,20 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
     hits = decontaminate.window_hits(decontaminate.document_words(docs, "doc_id", "text"), items).select("doc_id", "key")
-    keyed = docs.withColumn("key", decontaminate.document_key(F.col("text")))
+    keyed = docs.select(_row(docs), "doc_id", decontaminate.document_key(F.col("text")).alias("key"))
     named = _without(keyed, hits.where(F.col("doc_id").isNotNull()), ["doc_id", "key"])
     unnamed = hits.where(F.col("doc_id").isNull()).select("key")
-    return _without(named.where(F.col("doc_id").isNull()), unnamed, ["key"]) \
-        .union(named.where(F.col("doc_id").isNotNull())).select(docs.columns)
+    return _without(named.where(F.col("doc_id").isNull()), unnamed, ["key"]).select("row.*") \
+        .union(named.where(F.col("doc_id").isNotNull()).select("row.*"))
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = secrets.secret_spans(docs)
+    found = secrets.secret_spans(docs.select(_row(docs), "text"))
     hit = F.size("secrets") > 0
-    text = F.when(hit, secrets.redacted(F.col("text"), F.col("secrets"))).otherwise(F.col("text"))
-    chars = F.when(hit, F.char_length("_text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return found.withColumn("_text", text).withColumn("n_chars", chars).drop("text") \
-        .withColumnRenamed("_text", "text").select(docs.columns)
+    found = found.select("row", hit.alias("hit"), secrets.redacted(F.col("text"), F.col("secrets")).alias("clean"))
+    chars = F.char_length("clean").cast(docs.schema["n_chars"].dataType)
+    new = {"text": F.col("clean"), "n_chars": F.when(F.col("hit"), chars).otherwise(F.col("row.n_chars"))}
+    return found.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

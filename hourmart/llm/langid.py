@@ -159,7 +159,7 @@ class ContextTrees:
         if not texts:
             return out
         data, size = _padded(texts, self.order)
-        text_of = np.repeat(np.arange(len(texts)), size)
+        text_of = np.repeat(np.arange(len(texts), dtype=np.int32), size)
         keep = np.ones(len(data), bool)
         starts = np.cumsum(size) - size
         for k in range(self.order):
@@ -214,8 +214,15 @@ def predict(docs: DataFrame, trees: ContextTrees, text: str = "text") -> DataFra
         import pandas as pd
 
         values = [t or b"" for t in texts]
-        bits = np.vstack([model.value.code_lengths(values[i:i + 256]) for i in range(0, len(values), 256)]) \
-            if values else np.zeros((0, len(model.value.languages)))
+        parts, at = [np.zeros((0, len(model.value.languages)))], 0
+        while at < len(values):  # some texts at a time, by their bytes
+            end, held = at, 0
+            while end < len(values) and (end == at or held + len(values[end]) <= CHUNK):
+                held += len(values[end])
+                end += 1
+            parts.append(model.value.code_lengths(values[at:end]))
+            at = end
+        bits = np.vstack(parts)
         best = bits.argmin(axis=1)
         least = bits.min(axis=1)
         odds = np.exp2(-np.minimum(bits - least[:, None], 1000.0)).sum(axis=1)
