@@ -4,7 +4,7 @@ Join strategy: no broadcast hints. ``dim_city`` is the distinct station list
 (bounded by the number of stations, not by hours); with AQE on, the planner
 measures it after its shuffle and turns the join into a broadcast hash join
 only when the measured size is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``,
-and keeps the sort-merge join otherwise. ``dim_date`` grows with history, so
+and keeps the sort-merge join otherwise, salted so that no city is a hot key. ``dim_date`` grows with history, so
 it is never forced to broadcast either.
 """
 
@@ -17,6 +17,10 @@ from hourmart import schemas as S
 from hourmart.functions import expr as X
 
 
+#: Places over which a city's hours are spread in a shuffled join.
+SALT = 64
+
+
 def dim_date(cleaned_weather: DataFrame) -> DataFrame:
     """One row per distinct weather timestamp with calendar attributes.
 
@@ -64,7 +68,12 @@ def fct_weather_hourly(cleaned_weather: DataFrame, dim_city_df: DataFrame) -> Da
         X.date_key("timestamp").alias("date_key"), "city",
         "shortwave_radiation_wm2", "windspeed_10m_kmh", "temperature_2m_c",
         "is_daytime", "radiation_category")
-    return (w.join(dim_city_df.select("city", "city_key"), "city")
+    # One city may hold a third of the hours: where the join shuffles, a city's hours go to SALT
+    # places, and its one dimension row to each of them.
+    hours = w.withColumn("_salt", F.pmod(F.xxhash64("date_key"), F.lit(SALT)))
+    cities = dim_city_df.select("city", "city_key", F.explode(F.sequence(
+        F.lit(0).cast("long"), F.lit(SALT - 1).cast("long"))).alias("_salt"))
+    return (hours.join(cities, ["city", "_salt"])
             .select("date_key", "city_key", "shortwave_radiation_wm2", "windspeed_10m_kmh",
                     "temperature_2m_c", "is_daytime", "radiation_category"))
 

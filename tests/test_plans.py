@@ -72,3 +72,27 @@ def test_queries_are_lazy_and_do_not_touch_files_until_run(spark):
     after = sc.statusTracker().getJobIdsForGroup(None)
     assert len(after) - len(before) <= 2  # only schema inference of the driver tables may run
     assert os.path.isdir(SF_SMALL)
+
+
+def test_zones_below_are_written_without_an_exchange(stored):
+    from hourmart.operators import cleaned, star
+
+    for name, (src, build) in cleaned.BUILDERS.items():
+        assert "Exchange" not in plan_text(build(stored.table(src)), "simple"), name
+    facts = [star.fct_weather_hourly(stored.table("cleaned_weather"), stored.table("dim_city")),
+             star.fct_prices_hourly(stored.table("cleaned_prices")), star.fct_generation_hourly(stored.table("cleaned_generation"))]
+    for fact in facts:
+        assert "Exchange hashpartitioning" not in plan_text(fact, "simple")
+
+
+def test_no_city_is_a_hot_key_where_its_join_shuffles(spark, stored):
+    from hourmart.operators import star
+
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan_text(star.fct_weather_hourly(stored.table("cleaned_weather"), stored.table("dim_city")), "simple")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    exchanges = [line for line in text.splitlines() if "Exchange hashpartitioning(" in line]
+    assert exchanges and all("_salt" in line for line in exchanges)

@@ -14,31 +14,31 @@ sys.path.insert(0, ROOT)
 
 # ID -> (implementation, registered query keys, tests)
 MAP: dict[str, tuple[str, str, str]] = {
-    "SRC-01": ("`sources/landing.read_raw_parquet` (declared schema), `sources/catalog.RawFiles`", "src_01_raw_weather", "test_sinks::test_raw_write_and_declared_schema_read"),
-    "SRC-02": ("`sources/landing.read_raw_parquet`, `sources/catalog.RawFiles`", "src_02_raw_prices", "test_sinks::test_raw_write_and_declared_schema_read"),
-    "SRC-03": ("`sources/landing.read_raw_parquet`, `sources/catalog.RawFiles` (names with spaces kept)", "src_03_raw_generation", "test_sinks::test_raw_write_and_declared_schema_read"),
-    "SRC-04": ("`spark.read.parquet` via `sources/catalog.StoredTables`", "", "test_sinks::test_build_warehouse_twice_equals_once"),
+    "SRC-01": ("`sources/landing.read_raw_parquet` (declared schema), `sources/catalog.RawFiles`", "src_01_raw_weather, snk_01_raw_weather_files", "test_sinks::test_raw_write_and_declared_schema_read"),
+    "SRC-02": ("`sources/landing.read_raw_parquet`, `sources/catalog.RawFiles`", "src_02_raw_prices, snk_02_raw_prices_files", "test_sinks::test_raw_write_and_declared_schema_read"),
+    "SRC-03": ("`sources/landing.read_raw_parquet`, `sources/catalog.RawFiles` (names with spaces kept)", "src_03_raw_generation, snk_03_raw_generation_files", "test_sinks::test_raw_write_and_declared_schema_read"),
+    "SRC-04": ("`spark.read.parquet` via `sources/catalog.StoredTables`", "snk_01_raw_weather_files", "test_sinks::test_build_warehouse_twice_equals_once"),
     "SRC-05": ("`sources/landing.read_weather_landing`, `weather_rows` (`arrays_zip` + `inline`)", "src_05_weather_landing_roundtrip", "test_landing::test_weather_landing_parallel_arrays, test_single_variable_response"),
-    "SRC-06": ("`sources/catalog.StoredTables`, `CatalogTables`", "", "test_sinks::test_build_warehouse_twice_equals_once"),
-    "SRC-07": ("`sources/catalog.register_external_tables` (`CREATE TABLE … USING parquet LOCATION`)", "", "test_sinks::test_external_tables_in_catalog"),
-    "SRC-08": ("table resolvers `DerivedTables` / `LayeredTables` / `RawFiles` / `StoredTables` / `CatalogTables`", "", "test_sinks::test_external_tables_in_catalog"),
-    "SRC-09": ("`sources/catalog.list_tables`", "", "test_sinks::test_external_tables_in_catalog"),
-    "SNK-01": ("`sinks/writer.write_raw`", "", "test_sinks::test_raw_write_and_declared_schema_read"),
-    "SNK-02": ("`sinks/writer.write_raw`", "", "test_sinks::test_raw_write_and_declared_schema_read"),
-    "SNK-03": ("`sinks/writer.write_raw`", "", "test_sinks::test_raw_write_and_declared_schema_read"),
-    "SNK-04": ("`sinks/writer.write_table` (replace all / periods), `build_warehouse`", "", "test_sinks::test_full_build_replaces_periods_refresh_keeps_them"),
-    "SNK-05": ("`sinks/writer.export_curated`", "", "test_sinks::test_partitions_and_curated_export"),
-    "SNK-06": ("every query function returns a DataFrame (`plans/registry.QUERIES`)", "", "test_oracle"),
-    "SNK-07": ("`streaming/refresh.start_refresh` (weather, prices, generation streams), `load_*_files`, `merge_into_partitions`", "", "test_streaming"),
+    "SRC-06": ("`sources/catalog.StoredTables`, `CatalogTables`", "snk_04_replaced_table", "test_sinks::test_build_warehouse_twice_equals_once"),
+    "SRC-07": ("`sources/catalog.register_external_tables` (`CREATE TABLE … USING parquet LOCATION`)", "src_07_external_table", "test_sinks::test_external_tables_in_catalog"),
+    "SRC-08": ("table resolvers `DerivedTables` / `LayeredTables` / `RawFiles` / `StoredTables` / `CatalogTables`", "src_08_flagship_on_stored", "test_sinks::test_external_tables_in_catalog"),
+    "SRC-09": ("`sources/catalog.list_tables`", "src_09_listed_tables", "test_sinks::test_external_tables_in_catalog"),
+    "SNK-01": ("`sinks/writer.write_raw`", "snk_01_raw_weather_files", "test_sinks::test_raw_write_and_declared_schema_read"),
+    "SNK-02": ("`sinks/writer.write_raw`", "snk_02_raw_prices_files", "test_sinks::test_raw_write_and_declared_schema_read"),
+    "SNK-03": ("`sinks/writer.write_raw`", "snk_03_raw_generation_files", "test_sinks::test_raw_write_and_declared_schema_read"),
+    "SNK-04": ("`sinks/writer.write_table` (replace all / periods), `build_warehouse`", "snk_04_replaced_table, src_08_flagship_on_stored", "test_sinks::test_full_build_replaces_periods_refresh_keeps_them"),
+    "SNK-05": ("`sinks/writer.export_curated`", "snk_05_curated_export", "test_sinks::test_partitions_and_curated_export"),
+    "SNK-06": ("every query function returns a DataFrame (`plans/registry.QUERIES`)", "agg_06_seasonal_flagship", "test_oracle"),
+    "SNK-07": ("`streaming/refresh.start_refresh` (weather, prices, generation streams), `load_*_files`, `merge_into_partitions`", "snk_07_refresh_out_of_order", "test_streaming"),
     "ING-01": ("`sources/landing.parse_landing_time`", "src_05_weather_landing_roundtrip", "test_landing::test_weather_landing_parallel_arrays"),
-    "ING-02": ("`sources/landing.with_city_attributes` (fixed 5-row station list)", "", "test_landing::test_weather_landing_parallel_arrays"),
+    "ING-02": ("`sources/landing.with_city_attributes` (fixed 5-row station list)", "ing_02_station_coordinates", "test_landing::test_weather_landing_parallel_arrays"),
     "ING-03": ("`sources/landing.prices_from_utc`, `sources/driver_tables.raw_prices`", "ing_04_prices_utc_to_local", "test_landing::test_prices_from_utc_keep_autumn_repeat"),
     "ING-04": ("`functions/expr.utc_to_local`", "ing_04_prices_utc_to_local", "test_expr::test_utc_to_local_keeps_both_autumn_hours"),
     "ING-05": ("`sources/landing.restrict_range`", "ing_05_prices_in_request_range", "test_landing::test_restrict_range_inclusive_end"),
     "ING-06": ("`sources/landing.prices_from_utc` (series -> two-column table)", "ing_04_prices_utc_to_local", "test_landing::test_prices_from_utc_keep_autumn_repeat"),
-    "ING-07": ("`sources/landing.flatten_headers`", "", "test_landing::test_flatten_headers_and_numeric_columns"),
+    "ING-07": ("`sources/landing.flatten_headers`", "ing_07_flat_headers", "test_landing::test_flatten_headers_and_numeric_columns"),
     "ING-08": ("`sources/landing.prices_from_utc(ts_col=...)` renames the time column to `timestamp`", "ing_04_prices_utc_to_local", "test_landing::test_prices_from_utc_keep_autumn_repeat"),
-    "ING-09": ("`functions/stats.numeric_columns`", "sta_11_generation_source_means", "test_landing::test_flatten_headers_and_numeric_columns"),
+    "ING-09": ("`functions/stats.numeric_columns`", "ing_09_numeric_columns, sta_11_generation_source_means", "test_landing::test_flatten_headers_and_numeric_columns"),
     "ING-10": ("`sources/landing.generation_long` / `generation_wide` (conditional aggregate over listed sources)", "ing_10_generation_long_to_wide", "test_landing::test_generation_long_wide_roundtrip"),
     "PRJ-01": ("`operators/cleaned` builders (`select`, `alias`)", "tab_01_cleaned_weather", "test_oracle"),
     "PRJ-02": ("`operators/cleaned.cleaned_generation` with `schemas.GENERATION_SOURCES`", "tab_03_cleaned_generation", "test_oracle"),
@@ -125,14 +125,14 @@ MAP: dict[str, tuple[str, str, str]] = {
     "WIN-01": ("`operators/star.dim_city` (`row_number` over the distinct station list)", "tab_05_dim_city", "test_tables::test_dim_city_keys_by_name_and_fanout"),
     "SRT-01": ("`orderBy(desc_nulls_last)` on small aggregates (plans)", "agg_01_city_radiation", "test_oracle"),
     "SRT-02": ("`orderBy(asc_nulls_last)` (plans)", "agg_03_monthly_mix", "test_oracle"),
-    "SRT-03": ("`sinks/writer.write_table` (range split + `sortWithinPartitions`)", "", "test_sinks::test_build_warehouse_twice_equals_once"),
+    "SRT-03": ("`sinks/writer.write_table` (range split + `sortWithinPartitions`)", "srt_03_time_ordered_files", "test_sinks::test_build_warehouse_twice_equals_once"),
     "SRT-04": ("`orderBy().limit(n)` in `plans/weather.daytime_preview`, `raw_preview`", "prj_30_daytime_preview, prj_31_raw_preview", "test_oracle"),
     "SRT-05": ("`plans/prices.cheapest_dearest_hour` (struct keys, ties to the lowest hour)", "srt_05_cheapest_dearest_hour", "test_tables::test_cheapest_and_dearest_hour_ties_go_to_lowest_hour"),
     "SRT-06": ("`plans/prices.most_volatile_hour`", "srt_06_most_volatile_hour", "test_oracle"),
     "SRT-07": ("`functions/stats.column_means` (ordered desc)", "sta_11_generation_source_means", "test_oracle"),
     "SET-01": ("`operators/star.dim_date` (`distinct` on the timestamp)", "tab_04_dim_date", "test_tables::test_dim_date_unique_keys"),
     "SET-02": ("`operators/star.dim_city` (`distinct`)", "tab_05_dim_city", "test_tables::test_dim_city_keys_by_name_and_fanout"),
-    "SET-03": ("multi-file reads in `sources/landing.read_weather_landing` / the refresh stream", "src_05_weather_landing_roundtrip", "test_landing::test_weather_landing_parallel_arrays"),
+    "SET-03": ("multi-file reads in `sources/landing.read_weather_landing` / the refresh stream", "set_03_landed_files_union", "test_landing::test_weather_landing_parallel_arrays"),
     "SET-04": ("`plans/weather.unique_cities`", "set_04_unique_cities", "test_oracle"),
     "RSH-01": ("`plans/prices.price_heatmap` (conditional aggregate over 24 listed hours)", "rsh_01_price_heatmap", "test_tables::test_heatmap_missing_season_row_is_null"),
     "RSH-02": ("`plans/prices.price_heatmap` (left join from the fixed season order)", "rsh_01_price_heatmap", "test_tables::test_heatmap_missing_season_row_is_null"),
@@ -161,11 +161,13 @@ def survey_ids(path: str) -> list[tuple[str, str]]:
 
 def check(ids: list[tuple[str, str]]) -> list[str]:
     from hourmart.plans.registry import QUERIES
+    from hourmart.plans.storage import STORAGE_QUERIES
 
     problems = [f"{i}: not mapped" for i, _ in ids if i not in MAP]
+    problems += [f"{i}: no query key" for i, (_, keys, _) in MAP.items() if not keys]
     for i, (_, keys, _) in MAP.items():
         for k in filter(None, (x.strip() for x in keys.split(","))):
-            if k not in QUERIES:
+            if k not in QUERIES | STORAGE_QUERIES:
                 problems.append(f"{i}: unknown query key {k}")
     return problems
 
