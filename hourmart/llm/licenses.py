@@ -1,13 +1,16 @@
 """License scan (operator 4), DataFrame functions only.
 
 Two findings per document. The base: places where the words of a phrase stand
-one after the other. The method: an exact set-similarity join of text blocks
-(lines) with license templates. A block meets a template when it holds at
-least ``threshold`` of the template's distinct words. Template words are
-ordered by their frequency over all blocks, rarest first; a block that meets
+one after the other. The method: an exact set-similarity join of text blocks with
+license templates. Blocks are all runs of words up to ``SPAN`` times as long as
+the template, line breaks ignored, so a wrapped notice is met like one on a
+single line and words far apart are not. A block meets a template when it holds
+at least ``threshold`` of the template's distinct words. Template words are
+ordered by their frequency over all texts, rarest first; a block that meets
 the threshold must hold one of the template's first m - need + 1 words, so
-only those are join keys. Pairs then pass a length filter, a positional filter
-(what can still follow in both orders) and the exact count.
+only those are join keys. Pairs then pass a length and positional filter
+(enough words from the key on, in that order, within reach of its place) and
+the exact count of each block that holds the place.
 
 * null or empty text: no words, no labels, score 0. Repeated rows: each its own
   result (matches are keyed by doc_id and text). Ties in frequency: by word.
@@ -49,6 +52,7 @@ TEMPLATES = (
 )
 
 THRESHOLD = 0.8
+SPAN = 1.5
 
 
 def needed(n_words: int, threshold: float = THRESHOLD) -> int:
@@ -56,6 +60,11 @@ def needed(n_words: int, threshold: float = THRESHOLD) -> int:
     return max(1, math.ceil(threshold * n_words - 1e-9))
 
 
+def longest(n_words: int) -> int:
+    """Words a block may have for a template of ``n_words`` words, repeated ones included."""
+    return math.ceil(SPAN * n_words - 1e-9)
+
+
 def _phrase_places(w: Column, phrase: str) -> Column:
     """Word positions at which the phrase starts."""
     parts = phrase.split(" ")
@@ -72,11 +81,9 @@ def _phrase_places(w: Column, phrase: str) -> Column:
 
 def scan_words(docs: DataFrame, id_col: str, text: str, phrases, vocabulary: list[str]) -> DataFrame:
     """One pass over the texts: id, key, n_words, n_base, first_word, last_word, base (labels, distinct
-    and sorted) and blocks (for each line, its distinct words that are in ``vocabulary``; lines without left out)."""
+    and sorted) and places (position and word of each word that is in ``vocabulary``, in order)."""
     low = ascii_lower(F.coalesce(F.col(text), F.lit("")))
-    rows = docs.select(F.col(id_col), document_key(F.col(text)).alias("key"),
-                       F.transform(F.split(low, "\n", -1), lambda line: words(line, lowered=True)).alias("lines"))
-    rows = rows.withColumn("w", F.flatten("lines"))
+    rows = docs.select(F.col(id_col), document_key(F.col(text)).alias("key"), words(low, lowered=True).alias("w"))
     # a phrase's last word must stand somewhere: texts without it skip the search
     maybe = F.lit(False)
     for tail in sorted({p.split(" ")[-1] for p, _ in phrases}):
@@ -86,42 +93,53 @@ def scan_words(docs: DataFrame, id_col: str, text: str, phrases, vocabulary: lis
                                            for p, _ in phrases]))
     every = F.flatten("at")
     labels = F.array(*[F.when(F.size(F.get("at", F.lit(i))) > 0, F.lit(label)) for i, (_, label) in enumerate(phrases)])
-    blocks = F.transform("lines", lambda line: F.array_distinct(F.filter(line, lambda w: w.isin(vocabulary))))
+    known = F.filter(F.transform("w", lambda x, i: F.struct(i.alias("at"), x.alias("w"))),
+                     lambda p: p["w"].isin(vocabulary))
     return rows.select(
         id_col, "key", F.size("w").cast("long").alias("n_words"), F.size(every).cast("long").alias("n_base"),
         F.array_min(every).cast("long").alias("first_word"), F.array_max(every).cast("long").alias("last_word"),
         F.array_sort(F.array_distinct(F.filter(labels, lambda x: x.isNotNull()))).alias("base"),
-        F.filter(blocks, lambda v: F.size(v) > 0).alias("blocks"))
+        known.alias("places"))
 
 
-def template_matches(scanned: DataFrame, id_col: str, sets: list[tuple[str, list[str]]], vocabulary: list[str],
+def template_matches(scanned: DataFrame, id_col: str, sets: list[tuple[str, list[str], int]], vocabulary: list[str],
                      threshold: float = THRESHOLD) -> DataFrame:
     """(id, key, found, best): per document with a block that meets a template, the labels and the
-    greatest containment. ``sets``: (label, distinct words) of each template."""
+    greatest containment. ``sets``: (label, distinct words, longest block) of each template."""
     spark = scanned.sparkSession
-    least = min(needed(len(s), threshold) for _, s in sets)
     # global frequency order of the template words: at most len(vocabulary) rows reach the driver
-    counts = dict(scanned.select(F.explode(F.flatten("blocks")).alias("w")).groupBy("w").count().collect())
+    counts = dict(scanned.select(F.explode("places.w").alias("w")).groupBy("w").count().collect())
     order = sorted(vocabulary, key=lambda w: (counts.get(w, 0), w))
     rank = {w: i for i, w in enumerate(order)}
     prefix = []
-    for i, (label, s) in enumerate(sets):
+    for label, s, span in sets:
         s = sorted(s, key=rank.get)
         need = needed(len(s), threshold)
-        prefix += [(w, pos, i, label, len(s), need, s) for pos, w in enumerate(s[:len(s) - need + 1])]
+        # the word is the block's rarest of the template: what is rarer still is not counted there
+        prefix += [(w, label, len(s), need, span, s[pos:]) for pos, w in enumerate(s[:len(s) - need + 1])]
     probe = F.broadcast(spark.createDataFrame(
-        prefix, "w string, tpos int, template int, label string, m int, need int, tokens array<string>"))
-
-    large = F.filter("blocks", lambda v: F.size(v) >= F.lit(least))
-    ordered = F.transform(large, lambda v: F.filter(
-        F.array(*[F.lit(w) for w in order]), lambda w: F.array_contains(v, w)))
-    placed = scanned.select(id_col, "key", F.explode(ordered).alias("v")) \
-        .select(id_col, "key", "v", F.posexplode("v").alias("bpos", "w"))
-    n = F.size("v")
-    pairs = placed.join(probe, "w").where(
-        (n >= F.col("need"))  # length
-        & (F.least(F.col("m") - F.col("tpos"), n - F.col("bpos")) >= F.col("need")))  # position
-    common = F.size(F.array_intersect("v", "tokens"))
+        prefix, "w string, label string, m int, need int, span int, tokens array<string>"))
+
+    # each place of a prefix word, with the places that a block around it can hold
+    reach = max(span for *_, span in sets) - 1
+    keys = sorted({p[0] for p in prefix})
+    spots = F.filter(F.transform("places", lambda p, j: F.struct(p["at"].alias("at"), p["w"].alias("w"), j.alias("j"))),
+                     lambda p: p["w"].isin(keys))
+    around = F.transform(spots, lambda p: F.struct(
+        p["at"].alias("at"), p["w"].alias("w"),
+        F.slice("places", F.greatest(p["j"] - F.lit(reach), F.lit(0)) + F.lit(1), F.lit(2 * reach + 1)).alias("near")))
+    placed = scanned.select(id_col, "key", F.explode(around).alias("c")).select(id_col, "key", "c.*")
+    near = F.filter("near", lambda p: (F.abs(p["at"] - F.col("at")) < F.col("span"))
+                    & F.array_contains(F.col("tokens"), p["w"]))
+    pairs = placed.join(probe, "w").withColumn("near", near) \
+        .where(F.size(F.array_distinct("near.w")) >= F.col("need"))  # length and position
+
+    def held(first: Column) -> Column:
+        """Distinct template words of the block that starts at a place."""
+        block = F.filter("near", lambda p: (p["at"] >= first["at"]) & (p["at"] < first["at"] + F.col("span")))
+        return F.size(F.array_distinct(F.transform(block, lambda p: p["w"])))
+
+    common = F.array_max(F.transform(F.filter("near", lambda p: p["at"] <= F.col("at")), held))
     met = pairs.withColumn("common", common).where(F.col("common") >= F.col("need"))
     return met.groupBy(id_col, "key").agg(
         F.collect_set("label").alias("found"),
@@ -134,11 +152,11 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text", te
 
     ``score``: 1 with a base phrase, else the greatest containment of a template that is met, else 0.
     """
-    sets = [(label, sorted(set(t.split()))) for label, t in templates]
-    vocabulary = sorted({w for _, s in sets for w in s})
+    sets = [(label, sorted(set(t.split())), longest(len(t.split()))) for label, t in templates]
+    vocabulary = sorted({w for _, s, _ in sets for w in s})
     scanned = store(scan_words(docs, id_col, text, PHRASES, vocabulary), "license-words")
     met = template_matches(scanned, id_col, sets, vocabulary, threshold).alias("b")
-    base = scanned.drop("blocks").alias("a")
+    base = scanned.drop("places").alias("a")
     both = base.join(met, (F.col("a.key") == F.col("b.key"))
                      & F.col(f"a.{id_col}").eqNullSafe(F.col(f"b.{id_col}")), "left")
     labels = F.array_sort(F.array_union("base", F.coalesce("found", F.array().cast("array<string>"))))
