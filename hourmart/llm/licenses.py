@@ -5,10 +5,11 @@ one after the other. The method: an exact set-similarity join of text blocks wit
 license templates. Blocks are all runs of words up to ``SPAN`` times as long as
 the template, line breaks ignored, so a wrapped notice is met like one on a
 single line and words far apart are not. A block meets a template when it holds
-at least ``threshold`` of the template's distinct words. Template words are
-ordered by their frequency over all texts, rarest first; a block that meets
-the threshold must hold one of the template's first m - need + 1 words, so
-only those are join keys. Pairs then pass a length and positional filter
+at least ``threshold`` of the template's distinct words, and all of those that
+name the license (``NAMES``): without them most notices read alike. Template
+words are ordered by their frequency over all texts, rarest first; a block that
+meets the threshold must hold one of the template's first m - need + 1 words,
+and always the rarest naming word, so only those are join keys. Pairs then pass a length and positional filter
 (enough words from the key on, in that order, within reach of its place) and
 the exact count of each block that holds the place.
 
@@ -51,6 +52,9 @@ TEMPLATES = (
     ("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0"),
 )
 
+# What names a license. A block must hold those of its template's words that stand in one of these.
+NAMES = ("mit", "apache", "gnu", "cc by nc", "creative commons attribution", "noncommercial", "mozilla")
+
 THRESHOLD = 0.8
 SPAN = 1.5
 
@@ -60,6 +64,11 @@ def needed(n_words: int, threshold: float = THRESHOLD) -> int:
     return max(1, math.ceil(threshold * n_words - 1e-9))
 
 
+def naming(template: str) -> list[str]:
+    """Words of the template that name the license."""
+    return sorted({w for n in NAMES if f" {n} " in f" {template} " for w in n.split()})
+
+
 def longest(n_words: int) -> int:
     """Words a block may have for a template of ``n_words`` words, repeated ones included."""
     return math.ceil(SPAN * n_words - 1e-9)
@@ -102,23 +111,25 @@ def scan_words(docs: DataFrame, id_col: str, text: str, phrases, vocabulary: lis
         known.alias("places"))
 
 
-def template_matches(scanned: DataFrame, id_col: str, sets: list[tuple[str, list[str], int]], vocabulary: list[str],
+def template_matches(scanned: DataFrame, id_col: str, sets: list[tuple[str, list[str], list[str], int]], vocabulary: list[str],
                      threshold: float = THRESHOLD) -> DataFrame:
     """(id, key, found, best): per document with a block that meets a template, the labels and the
-    greatest containment. ``sets``: (label, distinct words, longest block) of each template."""
+    greatest containment. ``sets``: (label, distinct words, naming words, longest block) of each template."""
     spark = scanned.sparkSession
     # global frequency order of the template words: at most len(vocabulary) rows reach the driver
     counts = dict(scanned.select(F.explode("places.w").alias("w")).groupBy("w").count().collect())
     order = sorted(vocabulary, key=lambda w: (counts.get(w, 0), w))
     rank = {w: i for i, w in enumerate(order)}
     prefix = []
-    for label, s, span in sets:
+    for label, s, names, span in sets:
         s = sorted(s, key=rank.get)
         need = needed(len(s), threshold)
-        # the word is the block's rarest of the template: what is rarer still is not counted there
-        prefix += [(w, label, len(s), need, span, s[pos:]) for pos, w in enumerate(s[:len(s) - need + 1])]
+        if names:
+            prefix.append((min(names, key=rank.get), label, len(s), need, span, s, names))
+        else:  # the word is the block's rarest of the template: what is rarer still is not counted there
+            prefix += [(w, label, len(s), need, span, s[pos:], []) for pos, w in enumerate(s[:len(s) - need + 1])]
     probe = F.broadcast(spark.createDataFrame(
-        prefix, "w string, label string, m int, need int, span int, tokens array<string>"))
+        prefix, "w string, label string, m int, need int, span int, tokens array<string>, names array<string>"))
 
     # each place of a prefix word, with the places that a block around it can hold
     reach = max(span for *_, span in sets) - 1
@@ -132,12 +143,14 @@ def template_matches(scanned: DataFrame, id_col: str, sets: list[tuple[str, list
     near = F.filter("near", lambda p: (F.abs(p["at"] - F.col("at")) < F.col("span"))
                     & F.array_contains(F.col("tokens"), p["w"]))
     pairs = placed.join(probe, "w").withColumn("near", near) \
-        .where(F.size(F.array_distinct("near.w")) >= F.col("need"))  # length and position
+        .where((F.size(F.array_distinct("near.w")) >= F.col("need"))  # length and position
+               & (F.size(F.array_except("names", "near.w")) == 0))
 
     def held(first: Column) -> Column:
-        """Distinct template words of the block that starts at a place."""
+        """Distinct template words of the block that starts at a place; 0 without a naming word."""
         block = F.filter("near", lambda p: (p["at"] >= first["at"]) & (p["at"] < first["at"] + F.col("span")))
-        return F.size(F.array_distinct(F.transform(block, lambda p: p["w"])))
+        block = F.transform(block, lambda p: p["w"])
+        return F.when(F.size(F.array_except("names", block)) == 0, F.size(F.array_distinct(block))).otherwise(0)
 
     common = F.array_max(F.transform(F.filter("near", lambda p: p["at"] <= F.col("at")), held))
     met = pairs.withColumn("common", common).where(F.col("common") >= F.col("need"))
@@ -152,8 +165,8 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text", te
 
     ``score``: 1 with a base phrase, else the greatest containment of a template that is met, else 0.
     """
-    sets = [(label, sorted(set(t.split())), longest(len(t.split()))) for label, t in templates]
-    vocabulary = sorted({w for _, s, _ in sets for w in s})
+    sets = [(label, sorted(set(t.split())), naming(t), longest(len(t.split()))) for label, t in templates]
+    vocabulary = sorted({w for _, s, _, _ in sets for w in s})
     scanned = store(scan_words(docs, id_col, text, PHRASES, vocabulary), "license-words")
     met = template_matches(scanned, id_col, sets, vocabulary, threshold).alias("b")
     base = scanned.drop("places").alias("a")

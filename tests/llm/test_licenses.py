@@ -44,6 +44,17 @@ def test_words_far_apart_are_no_notice(spark):
     assert [(got[i].labels, got[i].score) for i in range(3)] == [("", 0.0), ("", 0.0), ("bsd", 1.0)]
 
 
+def test_the_naming_words_decide(spark):
+    got = _scan(spark, ["Released under the Apache license.", "released under the GPL license",
+                        "The band was released by the label under a license.", "Licensed under CC BY 4.0.",
+                        "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+                        "licensed under the mit license version 2 0",
+                        "This work is licensed under the new general public access rules, license version 3",
+                        "released under MIT license", "x\nLicensed under CC\nBY-NC 4"])
+    assert [got[i].labels for i in range(9)] == ["apache", "", "", "", "cc-by", "mit", "", "mit", "cc-by-nc"]
+    assert [got[i].score for i in range(1, 5)] == [0.0, 0.0, 0.0, 1.0]
+
+
 def _plain(text):
     """Labels and score of the templates, from every block."""
     w, found, best = _words(text), set(), 0.0
@@ -51,7 +62,7 @@ def _plain(text):
         words = set(t.split())
         for k in range(len(w)):
             block = set(w[k:k + licenses.longest(len(t.split()))]) & words
-            if len(block) >= licenses.needed(len(words)):
+            if len(block) >= licenses.needed(len(words)) and block >= set(licenses.naming(t)):
                 found.add(label)
                 best = max(best, len(block) / len(words))
     return found, best
