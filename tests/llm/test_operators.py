@@ -84,6 +84,17 @@ def test_near_duplicates_that_only_a_chain_joins(spark):
     assert {r.doc_id: r.component_id for r in found} == parent
 
 
+def test_links_at_the_threshold_share_a_table():
+    rng = np.random.default_rng(12)
+    missed = 0
+    for _ in range(6000):  # 80 common shingles, 10 more in each: a similarity of exactly 0.8
+        h = rng.integers(1, 1 << 63, 100, np.uint64)
+        a, b = (minhash.half_bands(x, minhash.HALF, minhash.ROWS) for x in (h[:90], np.append(h[:80], h[90:])))
+        same = a == b
+        missed += not (same[:minhash.HALF].any() and same[minhash.HALF:].any())
+    assert missed <= 6  # one in a thousand
+
+
 def test_token_counts_equal_the_library(docs, texts, none, spark):
     from tokenizers import Tokenizer
 
