@@ -177,16 +177,23 @@ class ContextTrees:
 def fit(docs: DataFrame, where: Column, text: str = "text", lang: str = "lang", order: int = ORDER,
         sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES, least_seen: int = LEAST_SEEN) -> ContextTrees:
     """Context trees of the languages of the rows of ``docs`` for which ``where`` holds."""
-    rows = docs.where(where & F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
-    # one row per language; which texts are sampled depends on nothing but their hash
-    n = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("text").alias("n")).collect()}
+    rows = docs.where(where & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
+        F.col(lang).alias("lang"), F.col(text).alias("text"), (F.octet_length(text) > sample_bytes).alias("long"),
+        F.xxhash64(text).alias("hash"))
+    # distinct texts, two rows per language; which texts are sampled depends on nothing but their hash
+    n = {(r["lang"], r["long"]): r["count"]
+         for r in rows.select("lang", "long", "hash").distinct().groupBy("lang", "long").count().collect()}
     share = F.lit(0.0)
-    for name, total in n.items():
-        share = F.when(F.col("lang") == F.lit(name), F.lit(min(1.0, sample / max(total, 1)))).otherwise(share)
-    picked = (rows.where(F.col("text").isNotNull() & (F.octet_length("text") <= sample_bytes))
-              .where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < share * F.lit(float(1 << 30)))
+    for (name, is_long), total in n.items():
+        if not is_long or (name, False) not in n:
+            share = F.when((F.col("lang") == F.lit(name)) & (F.col("long") == F.lit(is_long)),
+                           F.lit(min(1.0, sample / total))).otherwise(share)
+    picked = (rows.where(F.pmod("hash", F.lit(1 << 30)) < share * F.lit(float(1 << 30)))
+              .select("lang", F.substring("text", 1, sample_bytes).alias("text"))
               .dropDuplicates(["lang", "text"]).select("lang", _lowered(F.col("text")).alias("text")))
-    found = (picked.mapInArrow(_count_grams(order), "lang string, depth int, gram long, n long")
+    # the bounded sample is counted in a few tasks: each returns its distinct grams
+    found = (picked.repartition(2 * max(1, len({name for name, _ in n})))
+             .mapInArrow(_count_grams(order), "lang string, depth int, gram long, n long")
              .groupBy("lang", "depth", "gram").agg(F.sum("n").alias("n"))
              .where((F.col("n") >= least_seen) | (F.col("depth") < 3)).toPandas())
     languages = sorted(found["lang"].unique())

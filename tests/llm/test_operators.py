@@ -170,6 +170,16 @@ def test_language_of_held_out_texts(spark, none):
     assert {r.lang_pred for r in langid.predict(df, langid.fit(df, F.lit(False))).collect()} == {"und"}
 
 
+def test_every_language_is_sampled_by_its_distinct_texts(spark):
+    rows = [("lum bor tin sa", "aa")] * 3000 + [(f"quel vie ou {i}", "bb") for i in range(30)]
+    rows += [(f"dar {i} ket mun " * 2000, "cc") for i in range(3)]
+    df = spark.createDataFrame(rows, "text string, lang string")
+    trees = langid.fit(df, F.lit(True), sample=50)
+    assert list(trees.languages) == ["aa", "bb", "cc"]
+    probe = spark.createDataFrame([("lum bor tin sa", "aa"), ("vie quel", "bb"), ("ket mun dar", "cc")], df.schema)
+    assert all(r.lang_pred == r.lang for r in langid.predict(probe, trees).collect())
+
+
 def test_code_lengths_against_a_plain_context_tree(spark):
     text = "abracadabra abra"
     df = spark.createDataFrame([(text, "x")], "text string, lang string")
