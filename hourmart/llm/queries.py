@@ -11,12 +11,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hourmart.llm import alignment as A
 from hourmart.llm import decontaminate as D
 from hourmart.llm import embeddings as E
 from hourmart.llm import langid as L
 from hourmart.llm import licenses as LI
 from hourmart.llm import minhash as M
+from hourmart.llm import mixing as MX
 from hourmart.llm import packing as PK
+from hourmart.llm import search as SE
 from hourmart.llm import secrets as S
 from hourmart.llm import shards as SH
 from hourmart.llm import token_counts as TC
@@ -105,6 +108,20 @@ def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.near_vectors(read(spark, sf_dir, "embeddings"))
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return MX.mix(read(spark, sf_dir, "documents").select("doc_id", "text", "source")) \
+        .select("doc_id", "size", "source_size", "target", "taken", "passes")
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.align(read(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))
+
+
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return SE.ranked_search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), k=20)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_minhash, op2_token_counts, op3_langid, op4_licenses, op5_shards, op6_decontaminate,
-                            op7_warc, op8_secrets, op9_packing, op10_embeddings)}
+                            op7_warc, op8_secrets, op9_packing, op10_embeddings, op11_mixing, op12_alignment,
+                            op13_search)}

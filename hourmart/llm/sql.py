@@ -114,5 +114,24 @@ c AS (SELECT vec_id, min(r) AS component_id FROM reach GROUP BY vec_id)
 SELECT c.vec_id, coalesce(n, 0) AS n_links, component_id, c.vec_id = component_id AS kept FROM c LEFT JOIN n ON n.a = c.vec_id
 """
 
+OP13 = rf"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, {_words(_LOW)} AS w FROM documents),
+i AS (SELECT item_id, {_words(_LOW)} AS w FROM benchmark),
+total AS (SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS l FROM d WHERE len(w) > 0),
+tf AS (SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(w) AS term FROM d) GROUP BY row, term),
+asked AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest(w) AS term FROM i) GROUP BY item_id, term),
+weight AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM tf, total GROUP BY term, n_docs),
+m AS (SELECT row, doc_id, 100 - 25 + ((25 * CAST(len(w) AS BIGINT) * n_docs) // l) AS m FROM d, total WHERE len(w) > 0),
+score AS (
+  SELECT item_id, row, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+  FROM asked JOIN tf USING (term) JOIN weight USING (term) JOIN m USING (row) GROUP BY item_id, row, doc_id),
+best AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id ASC NULLS LAST) AS INTEGER) AS rank,
+    doc_id, score FROM score WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM best WHERE rank <= 20
+"""
+
 SQL: dict[str, str] = {"op1_minhash": OP1, "op4_licenses": OP4, "op6_decontaminate": OP6, "op7_warc": OP7,
-                       "op10_embeddings": OP10}
+                       "op10_embeddings": OP10, "op13_search": OP13}
