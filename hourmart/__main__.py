@@ -10,6 +10,7 @@
 from __future__ import annotations
 
 import argparse
+import hashlib
 import json
 import sys
 
@@ -64,9 +65,21 @@ def cmd_query(args) -> int:
 
 
 def cmd_refresh(args) -> int:
+    from hourmart.sources.catalog import StoredTables
     from hourmart.streaming import refresh as R
 
     spark = _session(args)
+    if args.warehouse:
+        table = f"raw_{args.feed}"
+        path = StoredTables(spark, args.warehouse).path(table)
+        # a stream's state belongs to one landing folder and one warehouse
+        name = hashlib.sha256(f"{args.landing} {path}".encode()).hexdigest()
+        query = R.start_refresh(spark, args.feed, args.landing, path, R.default_checkpoint(spark, name), period=args.period,
+                                multi_line=False if args.json_lines else None, warehouse=args.warehouse,
+                                new_stations=args.new_stations)
+        query.awaitTermination()
+        print(StoredTables(spark, args.warehouse).table(table).count())
+        return 0
     if args.feed == "weather":
         n = R.load_weather_files(spark, args.landing, args.table, period=args.period, multi_line=False if args.json_lines else None)
     elif args.feed == "prices":
@@ -102,7 +115,9 @@ def main(argv: list[str] | None = None) -> int:
     r = sub.add_parser("refresh", help="merge a day's landed feed into its raw table")
     r.add_argument("--feed", default="weather", choices=["weather", "prices", "generation"])
     r.add_argument("--landing", required=True)
-    r.add_argument("--table", required=True)
+    r.add_argument("--table", help="the raw table alone")
+    r.add_argument("--warehouse", help="a whole warehouse: cleaned and star tables follow")
+    r.add_argument("--new-stations", default="renumber", choices=["renumber", "append"])
     r.add_argument("--period", default=None, choices=["year", "month", "date"])
     r.add_argument("--json-lines", action="store_true")
 
@@ -110,6 +125,8 @@ def main(argv: list[str] | None = None) -> int:
     if args.cmd == "build" and not args.driver_tables and not all(
             [args.raw_weather, args.raw_prices, args.raw_generation]):
         p.error("build needs --driver-tables or all three --raw-* paths")
+    if args.cmd == "refresh" and bool(args.table) == bool(args.warehouse):
+        p.error("refresh needs either --table or --warehouse")
     return {"list": cmd_list, "build": cmd_build, "query": cmd_query, "refresh": cmd_refresh}[args.cmd](args)
 
 

@@ -4,21 +4,24 @@ Join strategy: no broadcast hints. ``dim_city`` is the distinct station list
 (bounded by the number of stations, not by hours); with AQE on, the planner
 measures it after its shuffle and turns the join into a broadcast hash join
 only when the measured size is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``,
-and keeps the sort-merge join otherwise, salted so that no city is a hot key. ``dim_date`` grows with history, so
-it is never forced to broadcast either.
+and keeps the sort-merge join otherwise, salted for the cities measured to be heavy. ``dim_date`` grows with
+history, so it is never forced to broadcast either.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hourmart import schemas as S
 from hourmart.functions import expr as X
+from hourmart.operators.numbering import numbered
 
 
-#: Places over which a city's hours are spread in a shuffled join.
+#: Places over which a heavy city's hours are spread in a shuffled join.
 SALT = 64
+#: A city with more than this part of all hours is heavy: it would fill more than its share of the tasks.
+HEAVY_SHARE = 1 / 64
 
 
 def dim_date(cleaned_weather: DataFrame) -> DataFrame:
@@ -47,33 +50,58 @@ def dim_date(cleaned_weather: DataFrame) -> DataFrame:
             ))
 
 
+#: What makes a station: differing coordinates make two.
+STATION = ("city", "latitude", "longitude")
+
+
 def dim_city(cleaned_weather: DataFrame) -> DataFrame:
-    """Surrogate keys 1..n over the distinct (city, latitude, longitude) list.
+    """Surrogate keys 1..n over the distinct (city, latitude, longitude) list, in that order.
 
-    ``row_number`` over a window without partition runs in one task; its
-    input is the distinct station list (a few thousand rows at most even for
-    a dense station network), never the hourly rows.
+    The list grows with the station network; it is numbered range by range
+    (:func:`hourmart.operators.numbering.numbered`), never by one task.
     """
-    stations = cleaned_weather.select("city", "latitude", "longitude").distinct()
-    return stations.select(
-        F.row_number().over(Window.orderBy("city", "latitude", "longitude")).cast("long").alias("city_key"),
-        "city", "latitude", "longitude",
+    return city_rows(cleaned_weather.select(*STATION).distinct())
+
+
+def city_rows(stations: DataFrame) -> DataFrame:
+    """``dim_city`` rows of a distinct station list."""
+    return numbered(stations, list(STATION), "city_key").select(
+        "city_key", *STATION,
         X.city_region(F.col("city")).alias("region"),
         X.is_coastal(F.col("city")).alias("is_coastal"),
     )
 
 
-def fct_weather_hourly(cleaned_weather: DataFrame, dim_city_df: DataFrame) -> DataFrame:
+def heavy_cities(cleaned_weather: DataFrame, share: float = HEAVY_SHARE) -> list[str]:
+    """Cities that hold more than ``share`` of all hours (fewer than 1 / share names), by one count per city."""
+    counts = cleaned_weather.groupBy("city").agg(F.count(F.lit(1)).alias("c"))
+    rows = F.lit(cleaned_weather.count())
+    return sorted(r["city"] for r in counts.where((F.col("c") > rows * F.lit(share)) & F.col("city").isNotNull())
+                  .select("city").collect())
+
+
+def fct_weather_hourly(cleaned_weather: DataFrame, dim_city_df: DataFrame, heavy: list[str] | None = None) -> DataFrame:
+    """Weather facts with their station's key.
+
+    ``heavy``: the heavy cities, measured now (:func:`heavy_cities`) if not given. Where the join
+    shuffles, only their hours go to SALT places and only their dimension rows
+    are copied; every other city has one place, and the skew join of AQE splits
+    what still is uneven.
+    """
+    heavy = heavy_cities(cleaned_weather) if heavy is None else heavy
     w = cleaned_weather.select(
         X.date_key("timestamp").alias("date_key"), "city",
         "shortwave_radiation_wm2", "windspeed_10m_kmh", "temperature_2m_c",
         "is_daytime", "radiation_category")
-    # One city may hold a third of the hours: where the join shuffles, a city's hours go to SALT
-    # places, and its one dimension row to each of them.
-    hours = w.withColumn("_salt", F.pmod(F.xxhash64("date_key"), F.lit(SALT)))
-    cities = dim_city_df.select("city", "city_key", F.explode(F.sequence(
-        F.lit(0).cast("long"), F.lit(SALT - 1).cast("long"))).alias("_salt"))
-    return (hours.join(cities, ["city", "_salt"])
+    cities = dim_city_df.select("city", "city_key")
+    keys = ["city"]
+    if heavy:
+        keys = ["city", "_salt"]
+        salted = F.col("city").isin(list(heavy))
+        w = w.withColumn("_salt", F.when(salted, F.pmod(F.xxhash64("date_key"), F.lit(SALT))).otherwise(F.lit(0)))
+        places = F.when(salted, F.lit(SALT - 1)).otherwise(F.lit(0)).cast("long")
+        cities = cities.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), places)))
+    return (w.join(cities, keys)
             .select("date_key", "city_key", "shortwave_radiation_wm2", "windspeed_10m_kmh",
                     "temperature_2m_c", "is_daytime", "radiation_category"))
 

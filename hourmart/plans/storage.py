@@ -20,7 +20,7 @@ from hourmart.plans.registry import FLAGSHIP, QUERIES
 from hourmart.session import shared_dir
 from hourmart.sinks.writer import build_warehouse, export_curated, write_raw, write_table
 from hourmart.sources import landing as L
-from hourmart.sources.catalog import CatalogTables, StoredTables, Tables, list_tables, register_external_tables
+from hourmart.sources.catalog import CatalogTables, LayeredTables, StoredTables, Tables, list_tables, register_external_tables
 
 DATABASE = "hourmart_external"
 
@@ -105,6 +105,34 @@ def refresh_out_of_order(t: Tables) -> DataFrame:
     return L.read_raw_parquet(t.spark, f"{base}/raw_weather", "raw_weather")
 
 
+def star_after_refresh(t: Tables) -> DataFrame:
+    """SNK-07 with TAB-01..08: a warehouse built without the last year and without the afternoons of its first
+    one; these are refreshed (weather landed and streamed, market rows merged), and the star tables, which followed
+    by period, are read as one wide table."""
+    from hourmart.streaming.propagate import refresh_dependants
+    from hourmart.streaming.refresh import merge_touched, start_refresh
+
+    spark, base = t.spark, _folder(t, "followed")
+    stored = StoredTables(spark, base)
+    raw = {n: t.table(n) for n in S.RAW_TABLES}
+    ends = raw["raw_weather"].agg(F.min(F.year("timestamp")).alias("lo"), F.max(F.year("timestamp")).alias("hi")).first()
+    year = F.year("timestamp")
+    late = (year == F.lit(ends["hi"])) | ((year == F.lit(ends["lo"])) & (F.hour("timestamp") >= 12))
+    build_warehouse(spark, LayeredTables(spark, {n: df.where(~late) for n, df in raw.items()}), base)
+    _landed_weather(raw["raw_weather"].where(late), f"{base}-landed")
+    start_refresh(spark, "weather", f"{base}-landed", stored.path("raw_weather"), f"{base}-stream", multi_line=False,
+                  warehouse=base).awaitTermination()
+    for name in ("raw_prices", "raw_generation"):
+        rows = raw[name].where(late).withColumn("_landed_at", F.lit(0))
+        _, touched, period = merge_touched(rows, stored.path(name), name, ["timestamp"])
+        refresh_dependants(spark, base, name, touched, period)
+    wide = stored.table("fct_weather_hourly").join(stored.table("dim_city").select("city_key", "city", "region"), "city_key") \
+        .join(stored.table("dim_date").select("date_key", "timestamp", "month_name"), "date_key")
+    prices = stored.table("fct_prices_hourly").select("date_key", "price_eur_mwh", "price_category")
+    generation = stored.table("fct_generation_hourly").select("date_key", "total_generation_mw", "renewable_pct")
+    return wide.join(prices, "date_key", "left").join(generation, "date_key", "left")
+
+
 def landed_files_union(t: Tables) -> DataFrame:
     """SET-03: the responses of all cities, in many files, read as one table by the landing reader (SRC-05)."""
     path = _folder(t, "landed")
@@ -151,6 +179,7 @@ STORAGE_QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "snk_04_replaced_table": replaced_table,
     "snk_05_curated_export": curated_export,
     "snk_07_refresh_out_of_order": refresh_out_of_order,
+    "snk_07_star_after_refresh": star_after_refresh,
     "src_07_external_table": external_table,
     "src_08_flagship_on_stored": flagship_on_stored,
     "src_09_listed_tables": listed_tables,

@@ -159,7 +159,7 @@ def build_warehouse(spark: SparkSession, source: Tables, base: str, period: str
 
     # Each layer reads the stored layer below it: lineage stops at the files.
     def from_store(names: list[str]) -> LayeredTables:
-        return LayeredTables(spark, {}, {n: (lambda n=n: stored.table(n)) for n in names})
+        return LayeredTables(spark, {}, {n: (lambda n=n: stored.table(n)) for n in names}, measure=True)
 
     def zone(resolver: Tables, names: list[str], in_order: bool = False) -> dict[str, int]:
         jobs = [(n, resolver.table(n), stored.path(n)) for n in names if n in wanted]

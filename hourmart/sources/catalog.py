@@ -47,11 +47,15 @@ class LayeredTables(Tables):
 
     Each derived DataFrame is built once and memoised, so a query that uses
     a table twice shares one logical subtree (and one exchange at run time).
+    With ``measure`` heavy cities are counted when the weather fact is asked
+    for (a warehouse build); without, nothing runs before the query does and
+    the skew join of AQE alone splits them.
     """
 
     def __init__(self, spark: SparkSession, raw: dict[str, DataFrame],
-                 loaders: dict[str, Callable[[], DataFrame]] | None = None):
+                 loaders: dict[str, Callable[[], DataFrame]] | None = None, measure: bool = False):
         self.spark = spark
+        self._measure = measure
         self._cache: dict[str, DataFrame] = dict(raw)
         self._loaders = dict(loaders or {})
 
@@ -68,7 +72,8 @@ class LayeredTables(Tables):
         elif name == "dim_city":
             df = ST.dim_city(self.table("cleaned_weather"))
         elif name == "fct_weather_hourly":
-            df = ST.fct_weather_hourly(self.table("cleaned_weather"), self.table("dim_city"))
+            df = ST.fct_weather_hourly(self.table("cleaned_weather"), self.table("dim_city"),
+                                       None if self._measure else [])
         elif name == "fct_prices_hourly":
             df = ST.fct_prices_hourly(self.table("cleaned_prices"))
         elif name == "fct_generation_hourly":

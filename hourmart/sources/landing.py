@@ -6,6 +6,7 @@ and these readers turn them into raw-table rows inside Spark.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -197,6 +198,25 @@ def read_raw_parquet(spark: SparkSession, path: str, table: str) -> DataFrame:
     return check_raw_schema(df.withColumns(longs) if longs else df, table)
 
 
+def read_partitions(spark: SparkSession, path: str, pcol: str, values: list, schema) -> DataFrame | None:
+    """Rows of the existing table in the given period partitions only.
+
+    The folders are named directly (one brace glob), so neither the other
+    partitions nor the table's full folder list is ever touched; the
+    declared schema spares the footer reads. None when none exist yet.
+    """
+    if not values:
+        return None
+    names = ",".join("__HIVE_DEFAULT_PARTITION__" if v is None else str(v) for v in values)
+    try:
+        return (spark.read.schema(schema).option("basePath", path)
+                .parquet(f"{path.rstrip('/')}/{pcol}={{{names}}}"))
+    except AnalysisException as e:  # first load of these periods
+        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+            return None
+        raise
+
+
 def nanos_to_ntz(col: Column) -> Column:
     """Epoch nanoseconds (a nanosecond Parquet timestamp read as long) -> NTZ.
 

@@ -22,7 +22,6 @@ from __future__ import annotations
 
 import os
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,7 +30,9 @@ from pyspark.sql.streaming import StreamingQuery
 from hourmart import schemas as S
 from hourmart.sinks.writer import partition_column, with_period
 from hourmart.sources.landing import (GENERATION_LANDING, PRICE_LANDING, dedupe_latest, generation_rows,
-                                      json_documents, price_rows, weather_rows, with_city_attributes)
+                                      json_documents, price_rows, read_partitions, weather_rows,
+                                      with_city_attributes)
+from hourmart.streaming.propagate import refresh_dependants
 
 ORDER_COL = "_landed_at"
 WEATHER_KEYS = ["timestamp", "city"]
@@ -40,27 +41,14 @@ WEATHER_KEYS = ["timestamp", "city"]
 MARKET_KEYS = ["timestamp_utc"]
 
 
-def _read_partitions(spark: SparkSession, path: str, pcol: str, values: list, schema) -> DataFrame | None:
-    """Rows of the existing table in the given period partitions only.
-
-    The folders are named directly (one brace glob), so neither the other
-    partitions nor the table's full folder list is ever touched; the
-    declared schema spares the footer reads. None when none exist yet.
-    """
-    if not values:
-        return None
-    names = ",".join("__HIVE_DEFAULT_PARTITION__" if v is None else str(v) for v in values)
-    try:
-        return (spark.read.schema(schema).option("basePath", path)
-                .parquet(f"{path.rstrip('/')}/{pcol}={{{names}}}"))
-    except AnalysisException as e:  # first load of these periods
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return None
-        raise
-
-
 def merge_into_partitions(new_rows: DataFrame, path: str, table: str, keys: list[str],
                           period: str | None = None, order_col: str = ORDER_COL, patch: bool = False) -> int:
+    """:func:`merge_touched`, returning the rows written."""
+    return merge_touched(new_rows, path, table, keys, period, order_col, patch)[0]
+
+
+def merge_touched(new_rows: DataFrame, path: str, table: str, keys: list[str], period: str | None = None,
+                  order_col: str = ORDER_COL, patch: bool = False) -> tuple[int, list, str]:
     """Upsert ``new_rows`` (with an ``order_col``) into the table at ``path``.
 
     The row landed last wins, also against stored rows, whose ``order_col`` is
@@ -69,7 +57,7 @@ def merge_into_partitions(new_rows: DataFrame, path: str, table: str, keys: list
     Rows with a NULL key have nothing to be merged on: all distinct ones stay.
     ``period`` is that of the stored table; ``date`` for a new one if not given.
 
-    Returns the number of rows written to the touched partitions.
+    Returns the number of rows written to the touched partitions, their period values and the period.
     """
     spark = new_rows.sparkSession
     stored = stored_period(spark, path)
@@ -82,7 +70,7 @@ def merge_into_partitions(new_rows: DataFrame, path: str, table: str, keys: list
     # those partition folders of the existing table are read and replaced.
     touched = [r[0] for r in new.select(pcol).distinct().collect()]
     schema = new.schema
-    existing = _read_partitions(spark, path, pcol, touched, schema)
+    existing = read_partitions(spark, path, pcol, touched, schema)
     if existing is not None:
         old = existing.withColumn(order_col, F.coalesce(order_col, F.lit(-1).cast("long")))
         both = old.unionByName(new.select(*old.columns))
@@ -104,7 +92,7 @@ def merge_into_partitions(new_rows: DataFrame, path: str, table: str, keys: list
      .observe(obs, F.count(F.lit(1)).alias("rows"))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(pcol).parquet(path))
-    return int(obs.get["rows"])
+    return int(obs.get["rows"]), touched, period
 
 
 def stored_period(spark: SparkSession, path: str) -> str | None:
@@ -163,13 +151,17 @@ def _feed(feed: str):
 
 
 def start_refresh(spark: SparkSession, feed: str, landing_dir: str, table_path: str, checkpoint_location: str,
-                  period: str | None = None, available_now: bool = True, multi_line: bool | None = None) -> StreamingQuery:
+                  period: str | None = None, available_now: bool = True, multi_line: bool | None = None,
+                  warehouse: str | None = None, new_stations: str = "renumber") -> StreamingQuery:
     """Start the refresh stream of one feed (weather, prices or generation).
 
     New files in ``landing_dir`` are read as they land; each micro-batch is
     merged with :func:`merge_into_partitions`. With ``available_now`` the
     query processes what has landed and stops (a scheduled daily run).
     Weather files are JSON documents or JSON lines, market feeds JSON lines.
+    With ``warehouse`` (whose raw table ``table_path`` then is) every batch's
+    periods go on to the cleaned and star tables
+    (:func:`hourmart.streaming.propagate.refresh_dependants`).
     """
     schema, rows, table, keys = _feed(feed)
     if feed == "weather":
@@ -178,7 +170,9 @@ def start_refresh(spark: SparkSession, feed: str, landing_dir: str, table_path:
         docs = spark.readStream.schema(schema).option("mode", "FAILFAST").json(landing_dir).select("*", _landed_at())
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
-        merge_into_partitions(rows(batch), table_path, table, keys, period, patch=feed == "generation")
+        _, touched, by = merge_touched(rows(batch), table_path, table, keys, period, patch=feed == "generation")
+        if warehouse:
+            refresh_dependants(batch.sparkSession, warehouse, table, touched, by, new_stations)
 
     w = docs.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint_location)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 hour")

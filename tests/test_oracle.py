@@ -13,7 +13,7 @@ import __spark_entry__ as E  # noqa: E402
 from hourmart.oracle import ORACLE_SQL  # noqa: E402
 from hourmart.plans.registry import QUERIES  # noqa: E402
 from hourmart.plans.storage import STORAGE_QUERIES  # noqa: E402
-from compare_oracle import TABLES, family, value_hash  # noqa: E402
+from compare_oracle import TABLES, families, value_hash  # noqa: E402
 
 from conftest import SF_SMALL  # noqa: E402
 
@@ -35,11 +35,11 @@ def test_every_query_has_an_oracle():
 
 @pytest.mark.parametrize("key", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, con, key):
-    sdf = E.queries()[key](spark, SF_SMALL).toPandas()
-    odf = con.execute(E.oracle_sql()[key]).df()
+    sdf = E.queries()[key](spark, SF_SMALL).toArrow()
+    odf = con.execute(E.oracle_sql()[key]).fetch_arrow_table()
     assert len(sdf) == len(odf)
-    assert sorted(sdf.columns) == sorted(odf.columns)
-    assert {c: family(sdf[c].dtype) for c in sdf.columns} == {c: family(odf[c].dtype) for c in odf.columns}
+    assert sorted(sdf.column_names) == sorted(odf.column_names)
+    assert families(sdf) == families(odf)
     assert value_hash(sdf) == value_hash(odf)
 
 
