@@ -9,8 +9,10 @@ When none is left every row's shard and range are known, and the rows cross
 the network once, one sorted range per group.
 
 The key is (sort key, row position): positions spread the rows of one key, so
-a key with a third of all rows is cut like any other. A position is the scan's
-own numbering, so the input must be a stored table (or a checkpoint).
+a key with a third of all rows is cut like any other. A position is the row's
+place in its file, so every pass sees the same one however the scan is split
+and whichever executors are left. The input must be read from files; any other
+is stored first.
 
 * null text: size 1 (no bytes); null sort key: before all others.
 * ties and repeated rows: each row has its own slot, in scan order.
@@ -24,6 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -35,9 +38,16 @@ _LOW = 1 << 63
 PROBES = 15
 
 
-def _position() -> F.Column:
-    # scan order spread over the whole 64-bit range, so equal keys can be cut anywhere
-    return F.xxhash64(F.monotonically_increasing_id(), F.lit(7))
+def _placed(df: DataFrame) -> DataFrame:
+    """``df`` with ``_p``: a row's file and place in it, spread over the whole 64-bit range so that equal keys
+    can be cut anywhere."""
+    def positioned(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("_p", F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"), F.lit(7)))
+
+    try:
+        return positioned(df)
+    except AnalysisException:  # no rows of a file: joins, generators, Python
+        return positioned(store(df, "shard-input", compression="zstd"))
 
 
 def _to_pairs(bounds: list[int]) -> np.ndarray:
@@ -120,9 +130,8 @@ def histogram_shards(df: DataFrame, key: str, size: F.Column, shards: int, toler
     (about; a single row may be larger). The driver holds one boundary per such range.
     """
     df = df.drop("size", "shard", "slot")
-    wide = (df.withColumn("size", size.cast("long"))
-            .withColumn("_k", F.coalesce(F.col(key).cast("long"), F.lit(-_LOW)))
-            .withColumn("_p", _position()))
+    wide = (_placed(df).withColumn("size", size.cast("long"))
+            .withColumn("_k", F.coalesce(F.col(key).cast("long"), F.lit(-_LOW))))
     keys = store(wide.select("_k", "_p", "size"), "shard-keys")
     ends = keys.agg(F.min("_k").alias("lo"), F.max("_k").alias("hi"), F.sum("size").alias("bytes")).first()
     if ends["bytes"] is None:
@@ -151,15 +160,16 @@ def histogram_shards(df: DataFrame, key: str, size: F.Column, shards: int, toler
     plan = df.sparkSession.sparkContext.broadcast(
         (_to_pairs(edges), shard_of.astype(np.int32), range_of, np.array(first_slot, np.int64)))
 
-    @F.pandas_udf("shard int, range long, start long")
+    @F.pandas_udf("shard int, range int, start long")
     def place(k: pd.Series, p: pd.Series) -> pd.DataFrame:
         bounds, shard, ranges, start = plan.value
         c = _cell(bounds, k.to_numpy(), p.to_numpy()) - 1
-        return pd.DataFrame({"shard": shard[c], "range": ranges[c], "start": start[ranges[c]]})
+        return pd.DataFrame({"shard": shard[c], "range": ranges[c].astype(np.int32), "start": start[ranges[c]]})
 
     placed = wide.withColumn("_at", place("_k", "_p"))
     w = Window.partitionBy("_range").orderBy("_k", "_p")
-    return (placed.withColumn("shard", F.col("_at.shard")).withColumn("_range", F.col("_at.range"))
-            .withColumn("_start", F.col("_at.start")).drop("_at")
+    placed = (placed.withColumn("shard", F.col("_at.shard")).withColumn("_range", F.col("_at.range"))
+              .withColumn("_start", F.col("_at.start")).drop("_at"))
+    return (placed.repartitionById(len(first_slot), F.col("_range"))
             .withColumn("slot", F.col("_start") + F.row_number().over(w) - F.lit(1))
             .drop("_k", "_p", "_range", "_start"))

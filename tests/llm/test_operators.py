@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from hourmart.llm import decontaminate as D
 from hourmart.llm import embeddings as E
-from hourmart.llm import langid, licenses, minhash, packing, secrets, shards, token_counts, warc
+from hourmart.llm import langid, licenses, minhash, packing, queries, secrets, shards, token_counts, warc
 from hourmart.llm.common import scratch, ship
 from hourmart.llm.queries import tokenizer
 
@@ -157,6 +157,54 @@ def test_shards_are_balanced_and_gapless(spark, none):
     assert shards.histogram_shards(none, "doc_id", size, 16).count() == 0
 
 
+def test_shards_survive_other_scan_splits_between_the_passes(spark, monkeypatch):
+    rng = random.Random(9)
+    rows = [(rng.randrange(50), None if i % 50 == 0 else "y" * rng.randint(0, 90)) for i in range(4000)]
+    path = scratch(spark, "test-splits")
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(path)
+    size = F.coalesce(F.octet_length("text"), F.lit(0)) + F.lit(1)
+    whole, least = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    real = shards._refine
+
+    def counted_then_cut(*args):
+        found = real(*args)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        return found
+
+    monkeypatch.setattr(shards, "_refine", counted_then_cut)
+    try:
+        out = shards.histogram_shards(spark.read.parquet(path), "doc_id", size, 16, target_bytes=3000)
+        assert spark.read.parquet(path).rdd.getNumPartitions() > 3
+        out = out.collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", whole)
+        spark.conf.set("spark.sql.files.openCostInBytes", least)
+    assert sorted((r.doc_id, r.text or "") for r in out) == sorted((d, t or "") for d, t in rows)
+    for s in range(16):
+        mine = sorted((r for r in out if r.shard == s), key=lambda r: r.slot)
+        assert [r.slot for r in mine] == list(range(len(mine)))
+        assert [r.doc_id for r in mine] == sorted(r.doc_id for r in mine)
+    total = [sum(r["size"] for r in out if r.shard == s) for s in range(16)]
+    assert max(total) - min(total) <= 2 * 91
+
+
+def test_shard_query_against_the_documents(spark):
+    import pyarrow.parquet as pq
+
+    sf = "/root/testdata/sf0.001"
+    want = sorted((d, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for d, t in
+                  zip(*pq.read_table(f"{sf}/documents.parquet", columns=["doc_id", "text"]).to_pydict().values()))
+    rows = queries.op5_shards(spark, sf).collect()
+    assert sorted((r.doc_id, r["size"], r.text_crc32) for r in rows) == want
+    assert {(r.law, r.grown_shard) for r in rows} == {("bytes", None)}
+    share = sum(r["size"] for r in rows) / 16
+    for s in range(16):
+        mine = [r for r in rows if r.shard == s]
+        assert sorted(r.slot for r in mine) == list(range(len(mine)))
+        assert abs(sum(r["size"] for r in mine) - share) <= max(r["size"] for r in rows)
+
+
 def test_language_of_held_out_texts(spark, none):
     rng = random.Random(2)
     kinds = {"aa": ["lum", "bor", "tin", "sa"], "bb": ["été", "ou", "quel", "vie"]}
