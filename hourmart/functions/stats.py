@@ -58,45 +58,76 @@ def column_means(df: DataFrame, columns: list[str] | None = None, digits: int =
             .orderBy(F.col(value_col).desc_nulls_last(), F.col(name_col)))
 
 
-def exact_quantiles(df: DataFrame, column: str, probs: list[float], buckets: int = 1024) -> DataFrame:
+def _chunked(bounds: Column, step: int) -> Column:
+    """Sorted ``bounds`` in chunks of ``step``, and each chunk's last."""
+    chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(bounds) - F.lit(1)) / F.lit(step)).cast("int")),
+                         lambda i: F.slice(bounds, i * F.lit(step) + F.lit(1), F.lit(step)))
+    return F.struct(chunks.alias("chunks"), F.transform(chunks, F.array_max).alias("lasts"))
+
+
+def _cell(value: Column, bounds: Column, step: int) -> Column:
+    """Number of bounds (as :func:`_chunked` has them) below ``value``: whole chunks, then those of the next."""
+    whole = F.size(F.filter(bounds["lasts"], lambda b: b < value))
+    rest = F.filter(F.get(bounds["chunks"], whole), lambda b: b < value)
+    return whole * F.lit(step) + F.coalesce(F.array_size(rest), F.lit(0))
+
+
+def rank_cells(counts: DataFrame, probs: list[float], cells: int, rounds: int) -> DataFrame:
+    """The rows (v, c) of distinct values that may hold a wanted rank, with ``off``, the rank (from 0) at which
+    their cell starts, and ``_n``, the number of all rows. Wanted are the ranks beside (n - 1) * p."""
+    step = max(1, int(cells ** 0.5))
+    left = counts.withColumn("off", F.lit(0).cast("long"))
+    for k in range(rounds):
+        # probes: a uniform sample of the values left, so cells are even however close or far apart the values are
+        place = F.pmod(F.xxhash64("v", F.lit(k)), F.lit(cells))
+        probes = left.groupBy(place.alias("_place")).agg(F.min_by("v", F.xxhash64(F.lit(k), "v")).alias("p"))
+        bounds = probes.agg(F.sort_array(F.collect_list("p")).alias("b")).select(_chunked(F.col("b"), step)).scalar()
+        celled = left.withColumn("_b", bounds).withColumn("cell", _cell(F.col("v"), F.col("_b"), step)).drop("_b")
+        totals = celled.groupBy("off", "cell").agg(F.sum("c").alias("t"), *([F.max("_n").alias("_n")] if k else []))
+        if not k:  # the first round's cells hold all rows; they are at most cells + 1
+            totals = totals.withColumn("_n", F.sum("t").over(Window.partitionBy("off")))
+        below = Window.partitionBy("off").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+        totals = totals.withColumn("start", F.col("off") + F.coalesce(F.sum("t").over(below), F.lit(0)))
+        wanted = F.lit(False)
+        for rank in (f(position(p)) for p in probs for f in (F.floor, F.ceil)):
+            wanted = wanted | ((F.col("start") <= rank) & (rank < F.col("start") + F.col("t")))
+        kept = totals.where(wanted).agg(F.collect_list(F.struct("off", "cell", "start", "_n"))).scalar()
+        mine = F.filter("_kept", lambda s: (s["off"] == F.col("off")) & (s["cell"] == F.col("cell")))
+        left = (celled.withColumn("_kept", kept).withColumn("_mine", F.get(mine, F.lit(0)))
+                .where(F.col("_mine").isNotNull())
+                .select("v", "c", F.col("_mine._n").alias("_n"), F.col("_mine.start").alias("off")))
+    return left
+
+
+def position(p: float) -> Column:
+    return (F.col("_n") - F.lit(1)).cast("double") * F.lit(float(p))
+
+
+def exact_quantiles(df: DataFrame, column: str, probs: list[float], buckets: int = 1024, rounds: int = 2) -> DataFrame:
     """Exact quantiles (linear interpolation between order statistics, the
     ``quantile_cont`` / pandas rule) computed without one task seeing all values.
 
     1. count rows per distinct value (partial aggregation: a hot value is one
        row per task, not a skewed group);
-    2. split the range of ``sign(v) * log1p(|v|)`` into ``buckets``
-       equal-width buckets (a monotone map, so bucket order is value order;
-       the log keeps a far outlier from pushing every other value into one
-       bucket) and count rows per bucket (at most ``buckets`` rows);
-    3. turn bucket counts into rank offsets (a window over at most
-       ``buckets`` rows) and broadcast them, a size fixed by the parameter;
-    4. a running sum per bucket gives every distinct value its rank span;
-    5. one conditional aggregate picks the values at the two ranks around
-       each target position and interpolates.
-
+    2. rank selection: a sample of ``buckets`` values cuts the distinct values
+       into cells, the rows per cell tell which cells hold a wanted rank (two
+       per probability at most), and only their values go on;
+    3. the same again within these cells, ``rounds`` times in all, so that a
+       cell holds about (distinct values) / buckets ** rounds values;
+    4. a running sum per cell gives every value left its rank span, and one
+       conditional aggregate picks the values at the two ranks around each
+       target position and interpolates.
+
+    What is not distributed has at most ``buckets`` + 1 rows per wanted cell.
     Output: one row, one ``double`` column per probability (``q0``, ``q1``...),
     equal bit for bit to Spark's single-task exact ``percentile``.
     """
     v = df.select(F.col(f"`{column}`").cast("double").alias("v")).where(_present(F.col("v")))
-    counts = v.groupBy("v").agg(F.count(F.lit(1)).alias("c")) \
-        .withColumn("u", F.signum("v") * F.log1p(F.abs("v")))
-    # the three bounds in one scalar subquery, attached once as a column
-    bounds = counts.agg(F.struct(F.min("u").alias("lo"), F.max("u").alias("hi"),
-                                 F.sum("c").alias("n")).alias("s")).scalar()
-    with_bounds = counts.withColumn("_s", bounds)
-    lo, hi, n = F.col("_s.lo"), F.col("_s.hi"), F.col("_s.n")
-    width = (hi - lo) / F.lit(float(buckets))
-    b = F.when(width > F.lit(0.0),
-               F.least(F.floor((F.col("u") - lo) / width), F.lit(buckets - 1))).otherwise(F.lit(0)).cast("int")
-    counts_b = with_bounds.withColumn("b", b)
-    offsets = (counts_b.groupBy("b").agg(F.sum("c").alias("bc"))
-               .withColumn("off", F.coalesce(F.sum("bc").over(
-                   Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-               .select("b", "off"))
-    ranked = (counts_b.join(F.broadcast(offsets), "b")
-              .withColumn("end", F.col("off") + F.sum("c").over(
-                  Window.partitionBy("b").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)))
-              .withColumn("start", F.col("end") - F.col("c")))
+    counts = v.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
+    left = rank_cells(counts, probs, buckets, rounds)
+    ranked = (left.withColumn("end", F.col("off") + F.sum("c").over(
+        Window.partitionBy("off").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)))
+        .withColumn("start", F.col("end") - F.col("c")))
 
     def value_at(rank: Column) -> Column:
         return F.max(F.when((F.col("start") <= rank) & (rank < F.col("end")), F.col("v")))
@@ -104,8 +135,7 @@ def exact_quantiles(df: DataFrame, column: str, probs: list[float], buckets: int
     # interpolation written as Spark's own exact ``percentile`` writes it:
     # (ceil - pos) * lower + (pos - floor) * upper, or lower when pos is whole
     aggs, outs = [], []
-    for i, p in enumerate(probs):
-        pos = (n - F.lit(1)).cast("double") * F.lit(float(p))
+    for i, pos in enumerate(map(position, probs)):
         aggs += [value_at(F.floor(pos)).alias(f"_lo{i}"), value_at(F.ceil(pos)).alias(f"_hi{i}"),
                  F.first(pos).alias(f"_p{i}")]
         lo_v, hi_v, ps = F.col(f"_lo{i}"), F.col(f"_hi{i}"), F.col(f"_p{i}")

@@ -29,6 +29,22 @@ def test_exact_quantiles_property(spark, vals, buckets):
     assert all(abs(a - b) <= 1e-12 * max(1.0, abs(b)) for a, b in zip(got, want))
 
 
+def test_values_close_together_are_spread(spark):
+    from pyspark.sql import functions as F
+
+    from hourmart.functions.stats import rank_cells
+
+    # a million times closer to each other than to the one far away: equal widths would put them into one cell
+    df = spark.range(20_000).select((F.lit(1.0) + F.col("id") * F.lit(1e-13)).alias("x")).union(spark.sql("SELECT 1e9D AS x"))
+    probs = [0.25, 0.5, 0.75]
+    assert list(exact_quantiles(df, "x", probs).first()) == df.agg(F.percentile("x", F.array(*[F.lit(p) for p in probs]))).first()[0]
+    counts = df.groupBy(F.col("x").alias("v")).agg(F.count("*").alias("c"))
+    for rounds, most in ((1, 3000), (2, 200)):
+        left = rank_cells(counts, probs, 64, rounds)
+        sizes = [r["count"] for r in left.groupBy("off").count().collect()]
+        assert len(sizes) <= 6 and max(sizes) <= most, (rounds, sizes)
+
+
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(vals=st.lists(st.floats(-1e6, 1e6, allow_nan=False), min_size=1, max_size=200),
        digits=st.integers(0, 3))
