@@ -87,9 +87,12 @@ def place(length: np.ndarray, start: np.ndarray, prompt: np.ndarray, limits: tup
 
 def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text: str = "text",
          prompt: str | None = None, end_id: int = 1, limits: tuple[int, int, int] = (TOKENS, SEGMENTS, TOKENS),
-         group: int = GROUP, min_cut: int = MIN_CUT) -> DataFrame:
+         group: int = GROUP, min_cut: int = MIN_CUT, cache_segments: int = 0, chunk_bytes: int = 0) -> DataFrame:
     """A row per piece: id, start, length, ids (little-endian unsigned 32-bit), doc_tokens, loss_tokens,
-    sequence_id, offset. Only whole pieces of ``limits[0]`` tokens and rests of documents are cut further."""
+    sequence_id, offset. Only whole pieces of ``limits[0]`` tokens and rests of documents are cut further.
+
+    ``cache_segments``, ``chunk_bytes``: the encoder's memory where that is short (0: its own sizes); results are equal.
+    """
     id_type = docs.schema[id_col].dataType
     schema = T.StructType([T.StructField(id_col, id_type), T.StructField("start", T.LongType()),
                            T.StructField("length", T.LongType()), T.StructField("ids", T.BinaryType()),
@@ -100,7 +103,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text: str
     widest = limits[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = SegmentEncoder(tokenizer_path)
+        encoder = SegmentEncoder(tokenizer_path, cache_segments, chunk_bytes)
         first = TaskContext.get().partitionId() << 40
         pieces: list[tuple] = []  # (id, start, ids, doc_tokens, prompt)
         held = 0

@@ -111,7 +111,8 @@ def split_chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[i
 class SegmentEncoder:
     """Token counts and ids of whole texts, equal to the library's ``encode`` without added special tokens."""
 
-    def __init__(self, tokenizer_path: str):
+    def __init__(self, tokenizer_path: str, cache_segments: int = 0, chunk_bytes: int = 0):
+        self._most, self._chunk = cache_segments or CACHE_SEGMENTS, chunk_bytes or CHUNK_BYTES
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         os.environ["RAYON_NUM_THREADS"] = "1"
         from tokenizers import Tokenizer, pre_tokenizers
@@ -166,7 +167,7 @@ class SegmentEncoder:
     def _encode(self, pieces: pa.DictionaryArray) -> np.ndarray:
         """The number of each distinct segment; new ones are encoded."""
         words = pieces.dictionary.to_pylist()
-        if len(self._known) + len(words) > CACHE_SEGMENTS or len(self._ids) > 8 * CACHE_SEGMENTS:
+        if len(self._known) + len(words) > self._most or len(self._ids) > 8 * self._most:
             self._forget()
         missing = [w for w in words if w not in self._known]
         ids, size = [self._ids], []
@@ -182,7 +183,7 @@ class SegmentEncoder:
     def counts(self, column: pa.Array) -> np.ndarray:
         """Number of ids of each text (null counts as empty)."""
         out = np.zeros(len(column), dtype=np.int64)
-        for a, b in split_chunks(column):
+        for a, b in split_chunks(column, self._chunk):
             pieces, per_text = self._segments(column.slice(a, b - a))
             number = self._encode(pieces)
             size = self._end[number + 1] - self._end[number]
@@ -193,7 +194,7 @@ class SegmentEncoder:
 
     def ids(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(first row, ids of a run of rows, their offsets) for run after run of the column."""
-        for a, b in split_chunks(column):
+        for a, b in split_chunks(column, self._chunk):
             pieces, per_text = self._segments(column.slice(a, b - a))
             number = self._encode(pieces)[np.asarray(pieces.indices)]
             start, each = self._end[number], self._end[number + 1] - self._end[number]
