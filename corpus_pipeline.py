@@ -75,7 +75,8 @@ def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    pieces = packing.pack(docs, tokenizer("word_bpe_49k.json"))
+    # earlier stages leave their executors little memory: a smaller encoder cache, texts in smaller parts
+    pieces = packing.pack(docs, tokenizer("word_bpe_49k.json"), cache_segments=200_000, chunk_bytes=1 << 20)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
                          "sequence_id", "offset", "loss_tokens")
 
