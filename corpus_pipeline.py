@@ -41,15 +41,27 @@ def _row(docs: DataFrame) -> F.Column:
     return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
 
 
-def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+#: Rows that cross to Python at once: whole texts are large, and both sides hold a batch.
+BATCH_ROWS = 500
+
+
+def prepared(spark: SparkSession) -> None:
+    """Ship the package, and keep a larger Arrow batch setting of the session down to ``BATCH_ROWS``."""
     ship(spark)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name, "10000")) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepared(spark)
     trees = langid.fit(docs, F.col("doc_id").isNotNull() & ~held_out())
     found = langid.predict(docs.select(_row(docs), "text"), trees)
     return found.where((F.col("lang_pred") != "und") & (F.col("bits_per_byte") < RAW_BITS)).select("row.*")
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship(spark)
+    prepared(spark)
     classes = minhash.near_duplicates(docs, k=5, percent=80)
     return _without(docs, classes.where(~F.col("kept")).select("doc_id"), ["doc_id"])
 
@@ -74,9 +86,9 @@ def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship(spark)
+    prepared(spark)
     # earlier stages leave their executors little memory: a smaller encoder cache, texts in smaller parts
-    pieces = packing.pack(docs, tokenizer("word_bpe_49k.json"), cache_segments=200_000, chunk_bytes=1 << 20)
+    pieces = packing.pack(docs, tokenizer("word_bpe_49k.json"), cache_segments=150_000, chunk_bytes=1 << 20)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
                          "sequence_id", "offset", "loss_tokens")
 
