@@ -26,6 +26,7 @@ of rarer pairs are shuffled, and none of those can be a hot key.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import os
 from collections.abc import Iterator
 
@@ -40,7 +41,7 @@ from hourmart.llm.common import BROADCAST_ROWS, store
 from hourmart.llm.segments import split_chunks
 
 #: Distinct segments kept per worker, bytes of text cut at once, segments jumped at once.
-CACHE_SEGMENTS, CHUNK_BYTES, RUN = 300_000, 4 << 20, 400_000
+CACHE_SEGMENTS, CHUNK_BYTES, RUN = 500_000, 4 << 20, 400_000
 #: An id pair's number (A id times B's vocabulary, plus B id) takes so many bits; the chunk's text the rest.
 PAIR_BITS = 40
 
@@ -116,13 +117,14 @@ class _Known:
         if len(self._number) + len(segments) > CACHE_SEGMENTS:
             self.__init__(self._sides)
         missing = [s for s in segments if s not in self._number]
-        sound = np.ones(len(missing), bool)
+        sound, whole = np.ones(len(missing), bool), "".join(missing).encode()
         for k, side in enumerate(self._sides):
             found = side.encode(missing)
-            for i, (s, ids) in enumerate(zip(missing, found)):
-                sound[i] &= b"".join([side.bytes[t] for t in ids]) == s.encode()
-            size = np.array([len(ids) for ids in found], np.int64)
-            flat = np.array([t for ids in found for t in ids], np.int64)
+            size = np.fromiter(map(len, found), np.int64, len(found))
+            flat = np.fromiter(itertools.chain.from_iterable(found), np.int64, int(size.sum()))
+            if b"".join(map(side.bytes.__getitem__, flat.tolist())) != whole:  # then which of them
+                for i, (s, ids) in enumerate(zip(missing, found)):
+                    sound[i] &= b"".join([side.bytes[t] for t in ids]) == s.encode()
             self.ids[k] = np.concatenate([self.ids[k], flat])
             self.end[k] = np.concatenate([self.end[k], self.end[k][-1] + np.cumsum(size)])
         self.sound = np.concatenate([self.sound, sound])
@@ -149,7 +151,7 @@ def _segments(texts: pa.Array, cut: bool) -> tuple[pa.DictionaryArray, np.ndarra
         # visible ASCII or a two-byte character from U+00C0 on, none of which is white space
         left = ((before > 0x20) & (before < 0x7F)) | ((before >= 0x80) & (before2 >= 0xC3) & (before2 <= 0xDF))
         right = ((after > 0x20) & (after < 0x7F)) | ((after >= 0xC3) & (after <= 0xDF))
-        starts = np.union1d(offsets, space[left & right])
+        starts = np.sort(np.concatenate([offsets, space[left & right]]), kind="stable")
     starts = np.ascontiguousarray(starts, np.int64)
     pieces = pa.LargeStringArray.from_buffers(len(starts) - 1, pa.py_buffer(starts), pa.py_buffer(data))
     return pieces.dictionary_encode(), np.diff(np.searchsorted(starts, offsets))
@@ -188,7 +190,8 @@ class Aligner:
         order[np.arange(n[1]) + (below[0] + in_group[0])[gb]] = ids[1] + 2 * len(self.sides[0].size) + \
             len(self.sides[1].size) * is_last
         # the stretches between neighbouring ends lie in one token of each: one stretch a link
-        union = np.union1d(*ends)
+        union = np.sort(np.concatenate(ends), kind="stable")
+        union = union[np.diff(union, prepend=-1) > 0]
         la, lb = np.searchsorted(ends[0], union), np.searchsorted(ends[1], union)
         return {"n_a": of[0], "n_b": of[1], "n_groups": of[1][is_last], "n_links": of[0][la], "order": order,
                 "pair": ids[0][la] * len(self.sides[1].size) + ids[1][lb]}
