@@ -29,7 +29,7 @@ MAP: dict[str, tuple[str, str, str]] = {
     "SNK-04": ("`sinks/writer.write_table` (replace all / periods), `build_warehouse`", "snk_04_replaced_table, src_08_flagship_on_stored", "test_sinks::test_full_build_replaces_periods_refresh_keeps_them"),
     "SNK-05": ("`sinks/writer.export_curated`", "snk_05_curated_export", "test_sinks::test_partitions_and_curated_export"),
     "SNK-06": ("every query function returns a DataFrame (`plans/registry.QUERIES`)", "agg_06_seasonal_flagship", "test_oracle"),
-    "SNK-07": ("`streaming/refresh.start_refresh` (weather, prices, generation streams), `load_*_files`, `merge_into_partitions`", "snk_07_refresh_out_of_order", "test_streaming"),
+    "SNK-07": ("`streaming/refresh.start_refresh` (weather, prices, generation streams), `load_*_files`, `merge_into_partitions`; `streaming/propagate.refresh_dependants` (cleaned and star tables follow)", "snk_07_refresh_out_of_order, snk_07_star_after_refresh", "test_streaming, test_propagate"),
     "ING-01": ("`sources/landing.parse_landing_time`", "src_05_weather_landing_roundtrip", "test_landing::test_weather_landing_parallel_arrays"),
     "ING-02": ("`sources/landing.with_city_attributes` (fixed 5-row station list)", "ing_02_station_coordinates", "test_landing::test_weather_landing_parallel_arrays"),
     "ING-03": ("`sources/landing.prices_from_utc`, `sources/driver_tables.raw_prices`", "ing_04_prices_utc_to_local", "test_landing::test_prices_from_utc_keep_autumn_repeat"),
@@ -122,7 +122,7 @@ MAP: dict[str, tuple[str, str, str]] = {
     "STA-10": ("`plans/profile.duplicate_key_report`; `sinks/writer.assert_unique_date_keys`", "sta_10_duplicate_key_report", "test_tables::test_repeated_autumn_hour_fans_out_and_is_reported"),
     "STA-11": ("`functions/stats.column_means`", "sta_11_generation_source_means", "test_oracle"),
     "STA-12": ("`plans/profile.table_shape` (oracle maps the SQL engine's type names)", "sta_12_table_shape", "test_oracle"),
-    "WIN-01": ("`operators/star.dim_city` (`row_number` over the distinct station list)", "tab_05_dim_city", "test_tables::test_dim_city_keys_by_name_and_fanout"),
+    "WIN-01": ("`operators/star.dim_city` (`operators/numbering.numbered` over the distinct station list)", "tab_05_dim_city", "test_tables::test_dim_city_keys_by_name_and_fanout, test_numbering"),
     "SRT-01": ("`orderBy(desc_nulls_last)` on small aggregates (plans)", "agg_01_city_radiation", "test_oracle"),
     "SRT-02": ("`orderBy(asc_nulls_last)` (plans)", "agg_03_monthly_mix", "test_oracle"),
     "SRT-03": ("`sinks/writer.write_table` (range split + `sortWithinPartitions`)", "srt_03_time_ordered_files", "test_sinks::test_build_warehouse_twice_equals_once"),
