@@ -36,7 +36,7 @@ def test_every_query_has_an_oracle():
 @pytest.mark.parametrize("key", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, con, key):
     sdf = E.queries()[key](spark, SF_SMALL).toArrow()
-    odf = con.execute(E.oracle_sql()[key]).fetch_arrow_table()
+    odf = con.execute(E.oracle_sql()[key]).to_arrow_table()
     assert len(sdf) == len(odf)
     assert sorted(sdf.column_names) == sorted(odf.column_names)
     assert families(sdf) == families(odf)
