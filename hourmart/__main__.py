@@ -76,16 +76,17 @@ def cmd_refresh(args) -> int:
         name = hashlib.sha256(f"{args.landing} {path}".encode()).hexdigest()
         query = R.start_refresh(spark, args.feed, args.landing, path, R.default_checkpoint(spark, name), period=args.period,
                                 multi_line=False if args.json_lines else None, warehouse=args.warehouse,
-                                new_stations=args.new_stations)
+                                new_stations=args.new_stations, rejects=args.rejects)
         query.awaitTermination()
         print(StoredTables(spark, args.warehouse).table(table).count())
         return 0
     if args.feed == "weather":
-        n = R.load_weather_files(spark, args.landing, args.table, period=args.period, multi_line=False if args.json_lines else None)
+        n = R.load_weather_files(spark, args.landing, args.table, period=args.period, multi_line=False if args.json_lines else None,
+                                 rejects=args.rejects)
     elif args.feed == "prices":
-        n = R.load_price_files(spark, args.landing, args.table, period=args.period)
+        n = R.load_price_files(spark, args.landing, args.table, period=args.period, rejects=args.rejects)
     else:
-        n = R.load_generation_files(spark, args.landing, args.table, period=args.period)
+        n = R.load_generation_files(spark, args.landing, args.table, period=args.period, rejects=args.rejects)
     print(n)
     return 0
 
@@ -117,6 +118,7 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--landing", required=True)
     r.add_argument("--table", help="the raw table alone")
     r.add_argument("--warehouse", help="a whole warehouse: cleaned and star tables follow")
+    r.add_argument("--rejects", help="table for bad responses; without it one stops the refresh")
     r.add_argument("--new-stations", default="renumber", choices=["renumber", "append"])
     r.add_argument("--period", default=None, choices=["year", "month", "date"])
     r.add_argument("--json-lines", action="store_true")

@@ -105,6 +105,40 @@ def refresh_out_of_order(t: Tables) -> DataFrame:
     return L.read_raw_parquet(t.spark, f"{base}/raw_weather", "raw_weather")
 
 
+#: What becomes of a response by (day number + length of the city's name) modulo 13; the others stay whole.
+DAMAGES = {0: "not_json", 1: "no_city", 2: "bad_time", 3: "no_hours", 4: "wrong_type"}
+
+
+def _damaged(docs: DataFrame) -> DataFrame:
+    """Landing documents as JSON texts (column ``value``), some of them spoilt (stand-in input only)."""
+    text, day = F.to_json(F.struct(*docs.columns)), F.to_date(F.substring(F.col("hourly.time")[0], 1, 10))
+    case = F.pmod(F.unix_date(day) + F.char_length("city"), F.lit(13))
+    spoilt = {0: F.substring(text, 1, 60), 1: F.to_json(F.struct(*[c for c in docs.columns if c != "city"])),
+              2: F.replace(text, F.lit('"time":["'), F.lit('"time":["x')), 3: F.to_json(F.struct("city", F.lit(True).alias("error"))),
+              4: F.replace(text, F.lit('"shortwave_radiation":['), F.lit('"shortwave_radiation":["n/a",'))}
+    value = reduce(lambda rest, k: F.when(case == k, spoilt[k]).otherwise(rest), spoilt, text)
+    return docs.select(value.alias("value"))
+
+
+def rejected_responses(t: Tables) -> DataFrame:
+    """SRC-05, SET-03, ING-01: a stream over landed responses, some of them bad, goes on; its table's rows, and the
+    rejects table counted by reason. Loading the folder once more adds no reject."""
+    from hourmart.sources.rejects import read_rejects
+    from hourmart.streaming.refresh import load_weather_files, start_refresh
+
+    base = _folder(t, "judged")
+    _damaged(L.weather_landing_docs(t.table("raw_weather"))).write.option("maxRecordsPerFile", 5000).text(f"{base}/landed")
+    start_refresh(t.spark, "weather", f"{base}/landed", f"{base}/raw_weather", f"{base}/stream", period="year",
+                  multi_line=False, rejects=f"{base}/rejects").awaitTermination()
+    load_weather_files(t.spark, f"{base}/landed", f"{base}/raw_weather", multi_line=False, rejects=f"{base}/rejects")
+    rows = L.read_raw_parquet(t.spark, f"{base}/raw_weather", "raw_weather")
+    counts = read_rejects(t.spark, f"{base}/rejects").groupBy("reason").agg(F.count(F.lit(1)).alias("n_responses"))
+    loaded = rows.select(F.lit("loaded").alias("outcome"), "timestamp", "city", "temperature_2m_c")
+    nothing = [F.lit(None).cast(loaded.schema[c].dataType).alias(c) for c in loaded.columns[1:]]
+    return loaded.withColumn("n_responses", F.lit(None).cast("long")).union(
+        counts.select("reason", *nothing, "n_responses"))
+
+
 def star_after_refresh(t: Tables) -> DataFrame:
     """SNK-07 with TAB-01..08: a warehouse built without the last year and without the afternoons of its first
     one; these are refreshed (weather landed and streamed, market rows merged), and the star tables, which followed
@@ -180,6 +214,7 @@ STORAGE_QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "snk_05_curated_export": curated_export,
     "snk_07_refresh_out_of_order": refresh_out_of_order,
     "snk_07_star_after_refresh": star_after_refresh,
+    "src_05_rejected_responses": rejected_responses,
     "src_07_external_table": external_table,
     "src_08_flagship_on_stored": flagship_on_stored,
     "src_09_listed_tables": listed_tables,

@@ -23,6 +23,13 @@ def parse_landing_time(s: Column) -> Column:
     return F.when(to_the_minute, F.to_timestamp_ntz(s, F.lit(LANDING_TIME_FORMAT))).otherwise(F.to_timestamp_ntz(s))
 
 
+def is_landing_time(s: Column) -> Column:
+    """Whether :func:`parse_landing_time` takes the string (NULL for NULL)."""
+    to_the_minute = s.rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}$")
+    full = F.when(to_the_minute, F.concat(s, F.lit(":00"))).otherwise(s)
+    return F.when(s.isNotNull(), full.try_cast("timestamp_ntz").isNotNull())
+
+
 def format_landing_time(ts: Column) -> Column:
     """NTZ timestamp -> ``yyyy-MM-ddTHH:mm`` without any time-zone step."""
     return F.substring(F.regexp_replace(ts.cast("string"), " ", "T"), 1, 16)
@@ -279,10 +286,19 @@ GENERATION_LANDING = T.StructType([T.StructField("timestamp_utc", T.StringType()
                                    T.StructField("mw", T.DoubleType())])
 
 
+def _with_offset(s: Column) -> Column:
+    zoned = F.when(s.rlike(r"(Z|[+-]\d{2}:?\d{2})$"), s).otherwise(F.concat(s, F.lit("Z")))
+    return F.regexp_replace(zoned, r"([+-]\d{2})(\d{2})$", "$1:$2")
+
+
 def parse_utc_instant(s: Column) -> Column:
     """ISO instant string (``...Z``, any offset, or bare UTC) -> NTZ holding the UTC clock."""
-    zoned = F.when(s.rlike(r"(Z|[+-]\d{2}:?\d{2})$"), s).otherwise(F.concat(s, F.lit("Z")))
-    return micros_to_ntz(F.unix_micros(F.to_timestamp(F.regexp_replace(zoned, r"([+-]\d{2})(\d{2})$", "$1:$2"))))
+    return micros_to_ntz(F.unix_micros(F.to_timestamp(_with_offset(s))))
+
+
+def is_utc_instant(s: Column) -> Column:
+    """Whether :func:`parse_utc_instant` takes the string (NULL for NULL)."""
+    return F.when(s.isNotNull(), _with_offset(s).try_cast("timestamp").isNotNull())
 
 
 def price_rows(landed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -32,6 +32,7 @@ from hourmart.sinks.writer import partition_column, with_period
 from hourmart.sources.landing import (GENERATION_LANDING, PRICE_LANDING, dedupe_latest, generation_rows,
                                       json_documents, price_rows, read_partitions, weather_rows,
                                       with_city_attributes)
+from hourmart.sources.rejects import good, read_judged, store_rejects
 from hourmart.streaming.propagate import refresh_dependants
 
 ORDER_COL = "_landed_at"
@@ -118,16 +119,29 @@ def weather_batch_rows(docs: DataFrame) -> DataFrame:
 
 
 def load_weather_files(spark: SparkSession, landing_path: str, table_path: str, period: str | None = None,
-                       multi_line: bool | None = None) -> int:
+                       multi_line: bool | None = None, rejects: str | None = None) -> int:
     """Batch form of the refresh: merge the files at ``landing_path`` now.
 
     Each file is one response object or JSON lines; ``multi_line=False`` says
-    that all are JSON lines, which lets large files be split.
+    that all are JSON lines, which lets large files be split. A bad response
+    fails the load, or goes to the ``rejects`` table if one is named.
     """
+    if rejects:
+        return _load_judged(spark, "weather", landing_path, table_path, period, rejects, multi_line is False)
     docs = _weather_docs(spark.read, landing_path, multi_line)
     return merge_into_partitions(weather_batch_rows(docs), table_path, "raw_weather", WEATHER_KEYS, period)
 
 
+def _load_judged(spark: SparkSession, feed: str, landing_path: str, table_path: str, period: str | None,
+                 rejects: str, by_line: bool = True) -> int:
+    """Bad responses to the rejects table, then the good ones merged; returns the rows written by the merge."""
+    _, rows, table, keys = _feed(feed)
+    found = read_judged(spark.read, landing_path, feed, ORDER_COL, by_line)
+    store_rejects(found, rejects, feed, ORDER_COL)
+    return merge_into_partitions(rows(good(found, (ORDER_COL,))), table_path, table, keys, period,
+                                 patch=feed == "generation")
+
+
 def _weather_docs(reader, path: str, multi_line: bool | None) -> DataFrame:
     if multi_line is False:
         return reader.schema(S.WEATHER_LANDING).option("mode", "FAILFAST").json(path).select("*", _landed_at())
@@ -152,7 +166,8 @@ def _feed(feed: str):
 
 def start_refresh(spark: SparkSession, feed: str, landing_dir: str, table_path: str, checkpoint_location: str,
                   period: str | None = None, available_now: bool = True, multi_line: bool | None = None,
-                  warehouse: str | None = None, new_stations: str = "renumber") -> StreamingQuery:
+                  warehouse: str | None = None, new_stations: str = "renumber",
+                  rejects: str | None = None) -> StreamingQuery:
     """Start the refresh stream of one feed (weather, prices or generation).
 
     New files in ``landing_dir`` are read as they land; each micro-batch is
@@ -162,14 +177,22 @@ def start_refresh(spark: SparkSession, feed: str, landing_dir: str, table_path:
     With ``warehouse`` (whose raw table ``table_path`` then is) every batch's
     periods go on to the cleaned and star tables
     (:func:`hourmart.streaming.propagate.refresh_dependants`).
+    A bad response stops the stream, unless a ``rejects`` table is named: it
+    goes there with its reason and the stream goes on
+    (:mod:`hourmart.sources.rejects`).
     """
     schema, rows, table, keys = _feed(feed)
-    if feed == "weather":
+    if rejects:
+        docs = read_judged(spark.readStream, landing_dir, feed, ORDER_COL, feed != "weather" or multi_line is False)
+    elif feed == "weather":
         docs = _weather_docs(spark.readStream, landing_dir, multi_line)
     else:
         docs = spark.readStream.schema(schema).option("mode", "FAILFAST").json(landing_dir).select("*", _landed_at())
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
+        if rejects:
+            store_rejects(batch, rejects, feed, ORDER_COL)
+            batch = good(batch, (ORDER_COL,))
         _, touched, by = merge_touched(rows(batch), table_path, table, keys, period, patch=feed == "generation")
         if warehouse:
             refresh_dependants(batch.sparkSession, warehouse, table, touched, by, new_stations)
@@ -197,18 +220,26 @@ def _market_reader(spark: SparkSession, schema):
     return spark.read.schema(schema).option("mode", "FAILFAST")
 
 
-def load_price_files(spark: SparkSession, landing_path: str, table_path: str, period: str | None = None) -> int:
+def load_price_files(spark: SparkSession, landing_path: str, table_path: str, period: str | None = None,
+                     rejects: str | None = None) -> int:
     """Merge landed day-ahead prices (JSON lines of ``timestamp_utc``, ``price``)
     into a raw_prices table partitioned by local period. The stored table
-    keeps ``timestamp_utc`` next to the raw columns (the merge key)."""
+    keeps ``timestamp_utc`` next to the raw columns (the merge key).
+    A bad line fails the load, or goes to the ``rejects`` table if one is named."""
+    if rejects:
+        return _load_judged(spark, "prices", landing_path, table_path, period, rejects)
     lines = _market_reader(spark, PRICE_LANDING).json(landing_path).select("*", _landed_at())
     return merge_into_partitions(price_rows(lines, keep=(ORDER_COL,)), table_path, "raw_prices", MARKET_KEYS, period)
 
 
-def load_generation_files(spark: SparkSession, landing_path: str, table_path: str, period: str | None = None) -> int:
+def load_generation_files(spark: SparkSession, landing_path: str, table_path: str, period: str | None = None,
+                          rejects: str | None = None) -> int:
     """Merge landed generation (JSON lines of ``timestamp_utc``, ``source``,
     ``mw``) into a raw_generation table, source by source: a file may hold any
-    of the sources of the hours it covers."""
+    of the sources of the hours it covers.
+    A bad line fails the load, or goes to the ``rejects`` table if one is named."""
+    if rejects:
+        return _load_judged(spark, "generation", landing_path, table_path, period, rejects)
     lines = _market_reader(spark, GENERATION_LANDING).json(landing_path).select("*", _landed_at())
     return merge_into_partitions(generation_rows(lines, keep=(ORDER_COL,)), table_path, "raw_generation",
                                  MARKET_KEYS, period, patch=True)

@@ -18,7 +18,7 @@ MAP: dict[str, tuple[str, str, str]] = {
     "SRC-02": ("`sources/landing.read_raw_parquet`, `sources/catalog.RawFiles`", "src_02_raw_prices, snk_02_raw_prices_files", "test_sinks::test_raw_write_and_declared_schema_read"),
     "SRC-03": ("`sources/landing.read_raw_parquet`, `sources/catalog.RawFiles` (names with spaces kept)", "src_03_raw_generation, snk_03_raw_generation_files", "test_sinks::test_raw_write_and_declared_schema_read"),
     "SRC-04": ("`spark.read.parquet` via `sources/catalog.StoredTables`", "snk_01_raw_weather_files", "test_sinks::test_build_warehouse_twice_equals_once"),
-    "SRC-05": ("`sources/landing.read_weather_landing`, `weather_rows` (`arrays_zip` + `inline`)", "src_05_weather_landing_roundtrip", "test_landing::test_weather_landing_parallel_arrays, test_single_variable_response"),
+    "SRC-05": ("`sources/landing.read_weather_landing`, `weather_rows` (`arrays_zip` + `inline`)", "src_05_weather_landing_roundtrip, src_05_rejected_responses", "test_landing::test_weather_landing_parallel_arrays, test_single_variable_response"),
     "SRC-06": ("`sources/catalog.StoredTables`, `CatalogTables`", "snk_04_replaced_table", "test_sinks::test_build_warehouse_twice_equals_once"),
     "SRC-07": ("`sources/catalog.register_external_tables` (`CREATE TABLE … USING parquet LOCATION`)", "src_07_external_table", "test_sinks::test_external_tables_in_catalog"),
     "SRC-08": ("table resolvers `DerivedTables` / `LayeredTables` / `RawFiles` / `StoredTables` / `CatalogTables`", "src_08_flagship_on_stored", "test_sinks::test_external_tables_in_catalog"),
