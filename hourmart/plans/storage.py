@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from hourmart import schemas as S
 from hourmart.functions.stats import numeric_columns
+from hourmart.plans.profile import row_counts
 from hourmart.plans.registry import FLAGSHIP, QUERIES
 from hourmart.session import shared_dir
 from hourmart.sinks.writer import build_warehouse, export_curated, write_raw, write_table
@@ -67,6 +68,13 @@ def flagship_on_stored(t: Tables) -> DataFrame:
     return QUERIES[FLAGSHIP](StoredTables(t.spark, base))
 
 
+def stored_counts(t: Tables) -> DataFrame:
+    """AGG-16 over a stored warehouse: rows per table, counted from the files' footers."""
+    base = _folder(t, "counted")
+    build_warehouse(t.spark, t, base)
+    return row_counts(StoredTables(t.spark, base))
+
+
 def _external(t: Tables, names: list[str]) -> str:
     stored = StoredTables(t.spark, _folder(t, "external"))
     for n in names:
@@ -207,6 +215,7 @@ def numeric_generation(t: Tables) -> DataFrame:
 
 
 STORAGE_QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
+    "agg_16_stored_counts": stored_counts,
     "snk_01_raw_weather_files": _raw_round_trip("raw_weather"),
     "snk_02_raw_prices_files": _raw_round_trip("raw_prices"),
     "snk_03_raw_generation_files": _raw_round_trip("raw_generation"),

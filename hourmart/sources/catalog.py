@@ -41,6 +41,22 @@ class Tables:
     def __getitem__(self, name: str) -> DataFrame:
         return self.table(name)
 
+    def row_count(self, name: str) -> DataFrame:
+        """One row: ``row_count`` of a table."""
+        return self.table(name).agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def footer_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Parquet files whose row counts Spark answers from their footers (``PushedAggregation``).
+
+    Only the second generation of the file source pushes aggregates down, and sources are chosen by a session
+    setting, so the frame belongs to a session of its own beside ``spark`` (same context and catalog).
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return own.read.parquet(path)
+
 
 class LayeredTables(Tables):
     """Raw DataFrames in, every cleaned and star table derived lazily.
@@ -129,6 +145,11 @@ class StoredTables(Tables):
         return df.drop(*[c for c in PERIOD_COLUMNS + REFRESH_COLUMNS if c in df.columns])
 
 
+    def row_count(self, name: str) -> DataFrame:
+        """The count from the files' footers: no column is read."""
+        return footer_rows(self.spark, self.path(name)).agg(F.count(F.lit(1)).alias("row_count"))
+
+
 class CatalogTables(Tables):
     def __init__(self, spark: SparkSession, database: str):
         self.spark = spark

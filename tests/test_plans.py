@@ -96,3 +96,14 @@ def test_no_city_is_a_hot_key_where_its_join_shuffles(spark, stored):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     exchanges = [line for line in text.splitlines() if "Exchange hashpartitioning(" in line]
     assert exchanges and all("_salt" in line for line in exchanges)
+
+
+def test_stored_counts_come_from_footers(spark, stored):
+    from hourmart import schemas as S
+
+    counts = QUERIES["agg_16_row_counts"](stored)
+    text = plan_text(counts)
+    assert text.count("PushedAggregation: [COUNT(*)]") == len(S.ALL_TABLES) and "FileScan" not in text
+    assert {r.table_name: r.row_count for r in counts.collect()} == {n: stored.table(n).count() for n in S.ALL_TABLES}
+    # the setting stays in its own session: other reads keep the first generation of the source
+    assert "PushedAggregation" not in plan_text(stored.table("raw_prices").groupBy().count())

@@ -106,7 +106,7 @@ MAP: dict[str, tuple[str, str, str]] = {
     "AGG-13": ("`plans/prices.price_kpis`", "agg_13_price_kpis", "test_oracle"),
     "AGG-14": ("`plans/prices.monthly_prices`", "agg_14_monthly_prices", "test_oracle"),
     "AGG-15": ("`plans/weather.city_weather_kpis`", "agg_15_city_weather_kpis", "test_oracle"),
-    "AGG-16": ("`plans/profile.row_counts`; counts during writes by `Observation` in `sinks/writer.write_table`", "agg_16_row_counts", "test_sinks::test_build_warehouse_twice_equals_once"),
+    "AGG-16": ("`plans/profile.row_counts`; counts during writes by `Observation` in `sinks/writer.write_table`", "agg_16_row_counts, agg_16_stored_counts", "test_sinks::test_build_warehouse_twice_equals_once"),
     "AGG-17": ("`plans/correlations.price_by_renewable_bucket`", "agg_17_price_by_renewable_bucket", "test_oracle"),
     "AGG-18": ("`plans/weather.daily_radiation`", "agg_18_daily_radiation", "test_oracle"),
     "AGG-19": ("`plans/prices.hourly_reference_line`", "agg_19_hourly_reference_line", "test_oracle"),
