@@ -60,7 +60,8 @@ def touched_rows(spark: SparkSession, stored: StoredTables, table: str, values:
 def add_hours(stored: StoredTables, weather: DataFrame, values: list, period: str) -> int:
     """Append the hours of ``weather`` that ``dim_date`` lacks; returns how many."""
     known = stored.table("dim_date").where(in_periods(F.col("date_key"), values, period)).select("date_key", "timestamp")
-    fresh = ST.dim_date(weather).join(known, "timestamp", "left_anti").checkpoint()
+    hours = ST.dim_date(weather)  # a join by name puts the key first; files keep the table's order of columns
+    fresh = hours.join(known, "timestamp", "left_anti").select(*hours.columns).checkpoint()
     twice = fresh.select("date_key").unionByName(known.select("date_key")).groupBy("date_key").count() \
         .where(F.col("count") > 1).limit(1).collect()
     if twice:
