@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import os
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every hourmart job relies on. ANSI mode turns silent overflow and
 # division by zero into errors (the helpers guard divisions with NULLIF);
@@ -63,6 +64,13 @@ def shared_dir(spark: SparkSession, fallback: str | None = None) -> str:
     return d.rstrip("/")
 
 
+def kept_aside(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a new folder of the shared folder and read from there: what made it runs once."""
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scale_conf(input_bytes: float, executors: int, cores_per_executor: int,
                target_partition_bytes: int = 256 * 1024 ** 2) -> dict[str, str]:
     """Partition sizing for a cluster run (pass the result as ``conf``).

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hourmart import schemas as S
+from hourmart.session import kept_aside
 from hourmart.sources.landing import GENERATION_LANDING, PRICE_LANDING, is_landing_time, is_utc_instant
 
 CORRUPT = "_corrupt"
@@ -54,8 +55,10 @@ def _rules(feed: str) -> list[tuple[str, Column]]:
 
 
 def _is_json(text: Column) -> Column:
-    """One JSON value and nothing beside it."""
-    return F.coalesce(F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1, F.lit(False))
+    """One JSON value and nothing beside it (an object that nothing closes, as of a cut response, needs no parser)."""
+    open_ended = F.ltrim(text).startswith("{") & ~F.contains(text, F.lit("}"))
+    length = F.when(~open_ended, F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))))
+    return F.coalesce(length == 1, F.lit(False))
 
 
 def responses(files: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -69,15 +72,26 @@ def responses(files: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 def judged(texts: DataFrame, feed: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """Response texts (column ``value``) -> ``d`` (the parsed response), ``reason`` and ``response``, plus ``keep``."""
     schema = T.StructType([*SCHEMAS[feed].fields, T.StructField(CORRUPT, T.StringType())])
-    parsed = texts.select(*keep, F.col("value").alias("response"),
-                          F.from_json("value", schema, {"columnNameOfCorruptRecord": CORRUPT}).alias("d"))
-    checks = [("not_json", ~_is_json(F.col("response"))),
+    known = texts.select(*keep, F.col("value").alias("response"), _is_json(F.col("value")).alias("_json"))
+    # what is no JSON is not parsed again
+    parsed = known.select(*keep, "response", "_json", F.from_json(
+        F.when(F.col("_json"), F.col("response")), schema, {"columnNameOfCorruptRecord": CORRUPT}).alias("d"))
+    checks = [("not_json", ~F.col("_json")),
               ("not_object", ~F.ltrim(F.regexp_replace("response", r"^\s+", "")).startswith("{")),
               ("wrong_type", F.col("d").isNull() | F.col(f"d.{CORRUPT}").isNotNull()), *_rules(feed)]
     reason = F.coalesce(*[F.when(bad, F.lit(name)) for name, bad in checks])
     return parsed.select(*keep, F.col("d").dropFields(CORRUPT).alias("d"), reason.alias("reason"), "response")
 
 
+def judged_once(rows: DataFrame) -> DataFrame:
+    """Judged rows written beside and read from there, so that no later step judges them again.
+
+    A good response's text and a bad one's fields are not needed any more: NULL.
+    """
+    bad = F.col("reason").isNotNull()
+    return kept_aside(rows.withColumns({"response": F.when(bad, F.col("response")), "d": F.when(~bad, F.col("d"))}), "judged")
+
+
 def good(rows: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """The good responses' fields, as the strict readers give them."""
     return rows.where(F.col("reason").isNull()).select("d.*", *keep)

@@ -9,6 +9,8 @@ micro-batch is merged into the raw table with :func:`merge_into_partitions`:
   the order in which files are loaded (the landing time is stored);
 * only the partitions the batch touches are read and rewritten (dynamic
   partition overwrite), so a day's load costs a day's data, not the table;
+* a batch's rows are parsed once: they are written beside the table first, and
+  every later step reads them from there;
 * the merged result is checkpointed to the shared checkpoint folder before
   the overwrite, so the job never reads a partition while replacing it;
 * a batch that is replayed after a failure produces the same table, so the
@@ -28,14 +30,17 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from hourmart import schemas as S
+from hourmart.session import kept_aside
 from hourmart.sinks.writer import partition_column, with_period
 from hourmart.sources.landing import (GENERATION_LANDING, PRICE_LANDING, dedupe_latest, generation_rows,
                                       json_documents, price_rows, read_partitions, weather_rows,
                                       with_city_attributes)
-from hourmart.sources.rejects import good, read_judged, store_rejects
+from hourmart.sources.rejects import good, judged_once, read_judged, store_rejects
 from hourmart.streaming.propagate import refresh_dependants
 
 ORDER_COL = "_landed_at"
+#: In a merge: all columns of a row without a whole key, NULL for the others.
+WHOLE = "_whole"
 WEATHER_KEYS = ["timestamp", "city"]
 # Market feeds are keyed on the UTC instant: the two autumn hours that share a
 # local wall-clock hour are two rows, as the feed delivers them.
@@ -66,7 +71,7 @@ def merge_touched(new_rows: DataFrame, path: str, table: str, keys: list[str], p
         raise ValueError(f"{path} is partitioned by {stored}, not by {period}")
     period = stored or period or "date"
     pcol = partition_column(table, period)
-    new = with_period(new_rows.withColumn(order_col, F.col(order_col).cast("long")), table, period)
+    new = kept_aside(with_period(new_rows.withColumn(order_col, F.col(order_col).cast("long")), table, period), table)
     # The periods in a batch are few (a day's load touches one or two): only
     # those partition folders of the existing table are read and replaced.
     touched = [r[0] for r in new.select(pcol).distinct().collect()]
@@ -80,16 +85,17 @@ def merge_touched(new_rows: DataFrame, path: str, table: str, keys: list[str], p
     keyed = F.lit(True)
     for k in keys:
         keyed = keyed & F.col(k).isNotNull()
-    one = _patched(both.where(keyed), keys + [pcol], order_col) if patch \
-        else dedupe_latest(both.where(keyed), keys + [pcol], order_col)
-    merged = one.unionByName(both.where(~keyed).distinct())
+    # one aggregate for both: rows without a whole key are told apart by all their columns
+    both = both.withColumn(WHOLE, F.when(~keyed, F.struct(*[F.col(f"`{c}`") for c in both.columns])))
+    by = [pcol, *keys, WHOLE]
+    merged = (_patched(both, by, order_col) if patch else dedupe_latest(both, by, order_col)).drop(WHOLE)
     # Reliable checkpoint: the overwrite below must not read the partitions it replaces.
     merged = merged.checkpoint(eager=True)
     obs = Observation("merged_rows")
-    # The dedupe already hash-distributed the rows on the keys (kept through
-    # the checkpoint), so a batch's one or two periods are spread over tasks:
-    # sort inside each task and write, with no further shuffle.
-    (merged.sortWithinPartitions(*keys)
+    # The aggregate already hash-distributed the rows on the keys and sorted them (kept through the checkpoint),
+    # so a batch's one or two periods are spread over tasks: write, with no further shuffle. The period leads,
+    # as the partitioned writer needs it: one sort serves both.
+    (merged.sortWithinPartitions(pcol, *keys)
      .observe(obs, F.count(F.lit(1)).alias("rows"))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(pcol).parquet(path))
@@ -136,7 +142,7 @@ def _load_judged(spark: SparkSession, feed: str, landing_path: str, table_path:
                  rejects: str, by_line: bool = True) -> int:
     """Bad responses to the rejects table, then the good ones merged; returns the rows written by the merge."""
     _, rows, table, keys = _feed(feed)
-    found = read_judged(spark.read, landing_path, feed, ORDER_COL, by_line)
+    found = judged_once(read_judged(spark.read, landing_path, feed, ORDER_COL, by_line))
     store_rejects(found, rejects, feed, ORDER_COL)
     return merge_into_partitions(rows(good(found, (ORDER_COL,))), table_path, table, keys, period,
                                  patch=feed == "generation")
@@ -191,6 +197,7 @@ def start_refresh(spark: SparkSession, feed: str, landing_dir: str, table_path:
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
         if rejects:
+            batch = judged_once(batch)
             store_rejects(batch, rejects, feed, ORDER_COL)
             batch = good(batch, (ORDER_COL,))
         _, touched, by = merge_touched(rows(batch), table_path, table, keys, period, patch=feed == "generation")

@@ -85,3 +85,22 @@ def test_only_bad_responses(spark, scratch):
     assert load_weather_files(spark, f"{scratch}/in", f"{scratch}/raw", multi_line=False, rejects=f"{scratch}/rej") == 0
     assert R.read_rejects(spark, f"{scratch}/rej").count() == len(BAD)
     assert R.read_rejects(spark, f"{scratch}/none").count() == 0
+
+
+def test_a_load_judges_each_response_once(spark, scratch, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from hourmart.streaming import refresh
+
+    _write(f"{scratch}/in", "a.json", "\n".join([*GOOD, BAD[0][0]]))
+    seen, read = spark.sparkContext.accumulator(0), refresh.read_judged
+
+    def passed(reason):
+        seen.add(1)
+        return reason
+
+    count = F.udf(passed, "string").asNondeterministic()
+    monkeypatch.setattr(refresh, "read_judged", lambda *a: read(*a).withColumn("reason", count("reason")))
+    load_weather_files(spark, f"{scratch}/in", f"{scratch}/out", multi_line=False, rejects=f"{scratch}/rej")
+    assert seen.value == len(GOOD) + 1
+    assert [r.reason for r in R.read_rejects(spark, f"{scratch}/rej").collect()] == ["not_json"]
