@@ -29,12 +29,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hourmart.llm.segments import split_chunks
+
 ORDER = 4
 SAMPLE = 500
 SAMPLE_BYTES = 16_384
 #: Contexts of three bytes and more keep only bytes seen at least so often there.
 LEAST_SEEN = 2
+#: Bytes of text handled at once, and how many of them are looked up together: a look-up holds some hundred bytes for each.
 CHUNK = 1 << 20
+PIECE = 1 << 17
 
 
 def _lowered(text: Column) -> Column:
@@ -58,7 +62,8 @@ def _padded(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _count_grams(order: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        parts = (b.slice(a, z - a) for b in batches for a, z in split_chunks(b.column("text"), CHUNK))
+        for b in parts:
             langs = b.column("lang").to_pylist()
             texts = b.column("text").to_pylist()
             for lang in sorted(set(langs)):
@@ -164,8 +169,8 @@ class ContextTrees:
         starts = np.cumsum(size) - size
         for k in range(self.order):
             keep[starts + k] = False
-        for at in range(self.order, len(data), CHUNK):
-            end = min(at + CHUNK, len(data))
+        for at in range(self.order, len(data), PIECE):
+            end = min(at + PIECE, len(data))
             bits = self.bits(_grams(data[at - self.order:end], self.order))
             bits[~keep[at:end]] = 0.0
             first, last = text_of[at], text_of[end - 1]

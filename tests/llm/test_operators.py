@@ -380,3 +380,24 @@ def test_vectors_against_all_pairs(spark):
                 parent = {i: lo if p == hi else p for i, p in parent.items()}
     assert {i: got[i] for i in parent} == {i: (links[i], parent[i]) for i in parent}
     assert E.near_vectors(df.where("false")).count() == 0
+
+
+def test_language_look_ups_hold_little_memory(monkeypatch):
+    import tracemalloc
+
+    sample = np.frombuffer(b"\n\nthe cat sat on the mat and the dog ran off" * 20, np.uint8)
+    grams, counts = langid._grams(sample, 2), {}
+    for d in range(3):
+        gram, n = np.unique(grams & np.uint64((1 << 8 * (d + 1)) - 1), return_counts=True)
+        counts[d] = (gram, np.stack([n, n * 2], axis=1).astype(float))
+    trees = langid.ContextTrees(["a", "b"], counts)
+    texts = [b"the cat and the dog sat off the mat " * 15_000] * 2
+    tracemalloc.start()
+    try:
+        bits = trees.code_lengths(texts)
+        held = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert held < 40 << 20
+    monkeypatch.setattr(langid, "PIECE", 1 << 21)  # the texts in one look-up: the same lengths
+    assert bits.ravel() == pytest.approx(trees.code_lengths(texts).ravel()) and (bits > 0).all()
