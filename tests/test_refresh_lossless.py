@@ -109,3 +109,23 @@ def test_hour_without_any_source_stays(spark):
     row = (datetime(2024, 1, 1, 0), *[None] * len(S.GENERATION_SOURCES), "Bulgaria")
     wide = spark.createDataFrame([row], S.RAW_GENERATION)
     assert L.generation_wide(L.generation_long(wide)).collect() == wide.collect()
+
+
+def test_a_merge_evaluates_its_new_rows_once(spark, scratch):
+    rows = [(datetime(2024, 1, 1, h % 3), "Sofia" if h < 6 else None, float(h)) for h in range(9)]
+    seen = spark.sparkContext.accumulator(0)
+
+    def passed(v):
+        seen.add(1)
+        return v
+
+    count = F.udf(passed, "double").asNondeterministic()
+    new = spark.createDataFrame(rows, "timestamp timestamp_ntz, city string, temperature_2m_c double") \
+        .withColumn("temperature_2m_c", count("temperature_2m_c")).withColumn("_landed_at", F.lit(1))
+    assert R.merge_into_partitions(new, f"{scratch}/t", "raw_weather", R.WEATHER_KEYS) == 6
+    assert seen.value == len(rows)
+    # loaded again: the same rows, those without a city told apart by all columns
+    assert R.merge_into_partitions(new, f"{scratch}/t", "raw_weather", R.WEATHER_KEYS) == 6
+    got = spark.read.parquet(f"{scratch}/t").collect()
+    assert sorted((r.city or "", r.temperature_2m_c) for r in got) == [("", 6.0), ("", 7.0), ("", 8.0),
+                                                                       ("Sofia", 3.0), ("Sofia", 4.0), ("Sofia", 5.0)]
