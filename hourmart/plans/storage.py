@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -18,7 +19,7 @@ from hourmart import schemas as S
 from hourmart.functions.stats import numeric_columns
 from hourmart.plans.profile import row_counts
 from hourmart.plans.registry import FLAGSHIP, QUERIES
-from hourmart.session import shared_dir
+from hourmart.session import kept_aside, shared_dir
 from hourmart.sinks.writer import build_warehouse, export_curated, write_raw, write_table
 from hourmart.sources import landing as L
 from hourmart.sources.catalog import CatalogTables, LayeredTables, StoredTables, Tables, list_tables, register_external_tables
@@ -156,18 +157,30 @@ def star_after_refresh(t: Tables) -> DataFrame:
 
     spark, base = t.spark, _folder(t, "followed")
     stored = StoredTables(spark, base)
-    raw = {n: t.table(n) for n in S.RAW_TABLES}
+    # derived once: the build, the landing and the merges read them from there
+    with ThreadPoolExecutor(len(S.RAW_TABLES)) as pool:
+        raw = dict(zip(S.RAW_TABLES, pool.map(lambda n: kept_aside(t.table(n), n), S.RAW_TABLES)))
     ends = raw["raw_weather"].agg(F.min(F.year("timestamp")).alias("lo"), F.max(F.year("timestamp")).alias("hi")).first()
     year = F.year("timestamp")
     late = (year == F.lit(ends["hi"])) | ((year == F.lit(ends["lo"])) & (F.hour("timestamp") >= 12))
-    build_warehouse(spark, LayeredTables(spark, {n: df.where(~late) for n, df in raw.items()}), base)
-    _landed_weather(raw["raw_weather"].where(late), f"{base}-landed")
-    start_refresh(spark, "weather", f"{base}-landed", stored.path("raw_weather"), f"{base}-stream", multi_line=False,
-                  warehouse=base).awaitTermination()
-    for name in ("raw_prices", "raw_generation"):
+    with ThreadPoolExecutor(1) as pool:
+        landed = pool.submit(_landed_weather, raw["raw_weather"].where(late), f"{base}-landed")
+        build_warehouse(spark, LayeredTables(spark, {n: df.where(~late) for n, df in raw.items()}), base)
+        landed.result()
+
+    def weather() -> None:
+        start_refresh(spark, "weather", f"{base}-landed", stored.path("raw_weather"), f"{base}-stream", multi_line=False,
+                      warehouse=base).awaitTermination()
+
+    def market(name: str) -> None:
         rows = raw[name].where(late).withColumn("_landed_at", F.lit(0))
         _, touched, period = merge_touched(rows, stored.path(name), name, ["timestamp"])
         refresh_dependants(spark, base, name, touched, period)
+
+    # the feeds touch different tables, so they are refreshed side by side
+    with ThreadPoolExecutor(3) as pool:
+        for done in (pool.submit(weather), pool.submit(market, "raw_prices"), pool.submit(market, "raw_generation")):
+            done.result()
     wide = stored.table("fct_weather_hourly").join(stored.table("dim_city").select("city_key", "city", "region"), "city_key") \
         .join(stored.table("dim_date").select("date_key", "timestamp", "month_name"), "date_key")
     prices = stored.table("fct_prices_hourly").select("date_key", "price_eur_mwh", "price_category")

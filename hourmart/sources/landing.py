@@ -14,25 +14,25 @@ from pyspark.sql import types as T
 from hourmart import schemas as S
 from hourmart.functions.expr import literal_table, utc_to_local
 
-LANDING_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm"
-
 
 def parse_landing_time(s: Column) -> Column:
     """ISO local time string (``2024-01-01T01:00``, seconds allowed) -> NTZ timestamp (ING-01); else the load fails."""
+    return _with_seconds(s).cast("timestamp_ntz")
+
+
+def _with_seconds(s: Column) -> Column:
     to_the_minute = s.rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}$")
-    return F.when(to_the_minute, F.to_timestamp_ntz(s, F.lit(LANDING_TIME_FORMAT))).otherwise(F.to_timestamp_ntz(s))
+    return F.when(to_the_minute, F.concat(s, F.lit(":00"))).otherwise(s)
 
 
 def is_landing_time(s: Column) -> Column:
     """Whether :func:`parse_landing_time` takes the string (NULL for NULL)."""
-    to_the_minute = s.rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}$")
-    full = F.when(to_the_minute, F.concat(s, F.lit(":00"))).otherwise(s)
-    return F.when(s.isNotNull(), full.try_cast("timestamp_ntz").isNotNull())
+    return F.when(s.isNotNull(), _with_seconds(s).try_cast("timestamp_ntz").isNotNull())
 
 
 def format_landing_time(ts: Column) -> Column:
     """NTZ timestamp -> ``yyyy-MM-ddTHH:mm`` without any time-zone step."""
-    return F.substring(F.regexp_replace(ts.cast("string"), " ", "T"), 1, 16)
+    return F.substring(F.replace(ts.cast("string"), F.lit(" "), F.lit("T")), 1, 16)
 
 
 def city_attributes(spark: SparkSession) -> DataFrame:
@@ -105,25 +105,35 @@ def json_documents(texts: DataFrame, schema: T.StructType, keep: tuple[str, ...]
     return parsed.select("d.*", *keep)
 
 
-def weather_landing_docs(raw_weather: DataFrame) -> DataFrame:
-    """raw_weather rows -> landing documents, one per (city, day).
+def weather_days(raw_weather: DataFrame) -> DataFrame:
+    """raw_weather rows -> one row per (city, day), its hours in an array (``_rows``) in time order.
 
     Each group holds at most 24 hours (plus a repeated autumn hour), so the
     arrays stay small however long the history is.
     """
-    grouped = (raw_weather
-               .groupBy("city", "latitude", "longitude", F.to_date("timestamp").alias("_day"))
-               .agg(F.sort_array(F.collect_list(F.struct(
-                   format_landing_time(F.col("timestamp")).alias("time"),
-                   F.col("shortwave_radiation_wm2").alias("shortwave_radiation"),
-                   F.col("windspeed_10m_kmh").alias("windspeed_10m"),
-                   F.col("temperature_2m_c").alias("temperature_2m")))).alias("_rows")))
-    return grouped.select(
-        "city", "latitude", "longitude",
+    # the day leads: a sort of the groups compares dates before names, which may share their beginnings
+    return (raw_weather
+            .groupBy(F.to_date("timestamp").alias("_day"), "city", "latitude", "longitude")
+            .agg(F.sort_array(F.collect_list(F.struct(
+                format_landing_time(F.col("timestamp")).alias("time"),
+                F.col("shortwave_radiation_wm2").alias("shortwave_radiation"),
+                F.col("windspeed_10m_kmh").alias("windspeed_10m"),
+                F.col("temperature_2m_c").alias("temperature_2m")))).alias("_rows")))
+
+
+def days_as_docs(days: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Rows of :func:`weather_days` -> landing documents (plus ``keep``)."""
+    return days.select(
+        *keep, "city", "latitude", "longitude",
         F.struct(*[F.col(f"_rows.{f}").alias(f)
                    for f in ["time", "shortwave_radiation", "windspeed_10m", "temperature_2m"]]).alias("hourly"))
 
 
+def weather_landing_docs(raw_weather: DataFrame) -> DataFrame:
+    """raw_weather rows -> landing documents, one per (city, day)."""
+    return days_as_docs(weather_days(raw_weather))
+
+
 def to_json_lines(docs: DataFrame) -> DataFrame:
     return docs.select(F.to_json(F.struct(*docs.columns)).alias("value"))
 

@@ -11,8 +11,9 @@ micro-batch is merged into the raw table with :func:`merge_into_partitions`:
   partition overwrite), so a day's load costs a day's data, not the table;
 * a batch's rows are parsed once: they are written beside the table first, and
   every later step reads them from there;
-* the merged result is checkpointed to the shared checkpoint folder before
-  the overwrite, so the job never reads a partition while replacing it;
+* old and new rows are dealt to the tasks by key once, sorted once, merged and
+  written: a dynamic overwrite keeps what it writes in a staging folder and
+  replaces the partitions when all tasks are done, so the job may read them;
 * a batch that is replayed after a failure produces the same table, so the
   refresh is idempotent: running a day's load twice equals running it once.
 
@@ -88,13 +89,12 @@ def merge_touched(new_rows: DataFrame, path: str, table: str, keys: list[str], p
     # one aggregate for both: rows without a whole key are told apart by all their columns
     both = both.withColumn(WHOLE, F.when(~keyed, F.struct(*[F.col(f"`{c}`") for c in both.columns])))
     by = [pcol, *keys, WHOLE]
-    merged = (_patched(both, by, order_col) if patch else dedupe_latest(both, by, order_col)).drop(WHOLE)
-    # Reliable checkpoint: the overwrite below must not read the partitions it replaces.
-    merged = merged.checkpoint(eager=True)
+    # Few keys repeat, so an aggregate before the shuffle would sort every row for nothing: dealt by key first,
+    # the rows are sorted once, for the aggregate and for the writer (which needs the period to lead). The keys
+    # spread a batch's one or two periods over the tasks.
+    dealt = both.repartition(*by)
+    merged = (_patched(dealt, by, order_col) if patch else dedupe_latest(dealt, by, order_col)).drop(WHOLE)
     obs = Observation("merged_rows")
-    # The aggregate already hash-distributed the rows on the keys and sorted them (kept through the checkpoint),
-    # so a batch's one or two periods are spread over tasks: write, with no further shuffle. The period leads,
-    # as the partitioned writer needs it: one sort serves both.
     (merged.sortWithinPartitions(pcol, *keys)
      .observe(obs, F.count(F.lit(1)).alias("rows"))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

@@ -129,3 +129,54 @@ def test_a_merge_evaluates_its_new_rows_once(spark, scratch):
     got = spark.read.parquet(f"{scratch}/t").collect()
     assert sorted((r.city or "", r.temperature_2m_c) for r in got) == [("", 6.0), ("", 7.0), ("", 8.0),
                                                                        ("Sofia", 3.0), ("Sofia", 4.0), ("Sofia", 5.0)]
+
+
+def _counted_rows(spark, seen, rows, table, column):
+    """Rows of a raw table that count into ``seen`` whenever they are evaluated."""
+    def passed(v):
+        seen.add(1)
+        return v
+
+    names = [f.name for f in S.RAW_SCHEMAS[table].fields]
+    full = [tuple(r.get(n) for n in names) for r in rows]
+    return spark.createDataFrame(full, S.RAW_SCHEMAS[table]).withColumn(column, F.udf(passed, "double").asNondeterministic()(column))
+
+
+def _weather_of(times):
+    return [{"timestamp": t, "city": c, "temperature_2m_c": float(i), "latitude": 1.0, "longitude": 2.0}
+            for i, t in enumerate(times) for c in ("Sofia", "Varna")]
+
+
+def test_a_merge_reads_what_it_replaces_without_a_copy(spark, scratch, monkeypatch):
+    def merged(rows, landed):
+        new = spark.createDataFrame(rows, "timestamp timestamp_ntz, city string, temperature_2m_c double")
+        return R.merge_into_partitions(new.withColumn("_landed_at", F.lit(landed)), f"{scratch}/t", "raw_weather",
+                                       R.WEATHER_KEYS, "year")
+
+    def refused(*args, **kwargs):
+        raise AssertionError("a merge needs no checkpoint")
+
+    monkeypatch.setattr(type(spark.range(1)), "checkpoint", refused)
+    first = [(datetime(2024, 1, 1, h), "Sofia", float(h)) for h in range(20)] + [(datetime(2023, 1, 1), "Sofia", 1.0)]
+    assert merged(first, 1) == 21
+    assert merged([(datetime(2024, 1, 1, 3), "Sofia", 90.0), (datetime(2024, 1, 1, 3), "Varna", 91.0)], 2) == 21
+    assert merged([(datetime(2024, 1, 1, 3), "Sofia", -1.0)], 0) == 21
+    got = {(r.timestamp, r.city): r.temperature_2m_c for r in spark.read.parquet(f"{scratch}/t").collect()}
+    want = {(t, c): v for t, c, v in first} | {(datetime(2024, 1, 1, 3), "Sofia"): 90.0, (datetime(2024, 1, 1, 3), "Varna"): 91.0}
+    assert got == want
+
+
+def test_star_after_refresh_derives_each_raw_table_once(spark):
+    from hourmart.plans.storage import star_after_refresh
+    from hourmart.sources.catalog import LayeredTables
+
+    times = [datetime(y, 1, d, h) for y in (2022, 2023, 2024) for d in (1, 2) for h in (0, 11, 12, 23)]
+    rows = {"raw_weather": (_weather_of(times), "temperature_2m_c"),
+            "raw_prices": ([{"timestamp": t, "price_eur_mwh": 7.0, "country": "Bulgaria"} for t in times], "price_eur_mwh"),
+            "raw_generation": ([{"timestamp": t, "Solar": 5.0, "country": "Bulgaria"} for t in times], "Solar")}
+    seen = {n: spark.sparkContext.accumulator(0) for n in rows}
+    t = LayeredTables(spark, {n: _counted_rows(spark, seen[n], r, n, c) for n, (r, c) in rows.items()})
+    wide = star_after_refresh(t).collect()
+    assert {n: a.value for n, a in seen.items()} == {n: len(r) for n, (r, _) in rows.items()}
+    assert len(wide) == len(rows["raw_weather"][0])
+    assert all(r.price_eur_mwh == 7.0 and r.total_generation_mw == 5.0 for r in wide)
