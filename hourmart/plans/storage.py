@@ -103,14 +103,27 @@ def _landed_weather(rows: DataFrame, path: str) -> None:
     L.to_json_lines(L.weather_landing_docs(rows)).write.option("maxRecordsPerFile", 5000).text(path)
 
 
+def _landed_twice(rows: DataFrame, path: str) -> None:
+    """Landed responses of the hours from noon on (folder ``load=0``) and of all hours (``load=1``), from one grouping.
+
+    A task writes its days' later hours before it writes the whole days, so of every hour they land in this order.
+    """
+    later = F.filter("_rows", lambda r: F.substring(r["time"], 12, 2) >= F.lit("12"))
+    loads = F.array(*[F.struct(F.lit(i).alias("load"), r.alias("_rows")) for i, r in enumerate((later, F.col("_rows")))])
+    days = L.weather_days(rows).select("city", "latitude", "longitude", F.inline(loads)).where(F.size("_rows") > 0)
+    docs = L.days_as_docs(days, keep=("load",))
+    docs.select("load", F.to_json(F.struct(*[c for c in docs.columns if c != "load"])).alias("value")) \
+        .write.partitionBy("load").option("maxRecordsPerFile", 5000).text(path)
+
+
 def refresh_out_of_order(t: Tables) -> DataFrame:
     """SNK-07: the later half of the hours is loaded first, then all; the table equals a load in one."""
     from hourmart.streaming.refresh import load_weather_files
 
-    base, weather = _folder(t, "refresh"), t.table("raw_weather")
-    for i, part in enumerate((weather.where(F.hour("timestamp") >= 12), weather)):
-        _landed_weather(part, f"{base}/landed-{i}")
-        load_weather_files(t.spark, f"{base}/landed-{i}", f"{base}/raw_weather", period="year", multi_line=False)
+    base = _folder(t, "refresh")
+    _landed_twice(t.table("raw_weather"), f"{base}/landed")
+    for i in (0, 1):
+        load_weather_files(t.spark, f"{base}/landed/load={i}", f"{base}/raw_weather", period="year", multi_line=False)
     return L.read_raw_parquet(t.spark, f"{base}/raw_weather", "raw_weather")
 
 

@@ -180,3 +180,24 @@ def test_star_after_refresh_derives_each_raw_table_once(spark):
     assert {n: a.value for n, a in seen.items()} == {n: len(r) for n, (r, _) in rows.items()}
     assert len(wide) == len(rows["raw_weather"][0])
     assert all(r.price_eur_mwh == 7.0 and r.total_generation_mw == 5.0 for r in wide)
+
+
+def test_refresh_out_of_order_derives_and_groups_its_rows_once(spark, monkeypatch):
+    from hourmart.plans.storage import refresh_out_of_order
+    from hourmart.sources.catalog import LayeredTables
+
+    rows = _weather_of([datetime(2024, 1, d, h) for d in (1, 2, 3) for h in (0, 11, 12, 23)] + [datetime(2024, 1, 4, 5)])
+    seen, loads, load = spark.sparkContext.accumulator(0), [], R.load_weather_files
+
+    def kept(spark, landing_path, *args, **kwargs):
+        loads.append(L.read_weather_landing(spark, landing_path))
+        return load(spark, landing_path, *args, **kwargs)
+
+    monkeypatch.setattr(R, "load_weather_files", kept)
+    got = refresh_out_of_order(LayeredTables(spark, {"raw_weather": _counted_rows(spark, seen, rows, "raw_weather", "temperature_2m_c")}))
+    assert seen.value == len(rows)
+    later, whole = ({(r.timestamp, r.city) for r in d.collect()} for d in loads)
+    assert whole == {(r["timestamp"], r["city"]) for r in rows}
+    assert later == {(t, c) for t, c in whole if t.hour >= 12}
+    assert sorted((r.timestamp, r.city, r.temperature_2m_c) for r in got.collect()) == sorted(
+        (r["timestamp"], r["city"], r["temperature_2m_c"]) for r in rows)
