@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from hourmart.llm import decontaminate as D
 from hourmart.llm import embeddings as E
 from hourmart.llm import langid, licenses, minhash, packing, queries, secrets, shards, token_counts, warc
-from hourmart.llm.common import scratch, ship
+from hourmart.llm.common import likely_rows, scratch, ship
 from hourmart.llm.queries import tokenizer
 
 DOCS = "doc_id long, text string, shard string, size string"
@@ -85,6 +85,39 @@ def test_near_duplicates_that_only_a_chain_joins(spark):
     assert {r.doc_id: r.component_id for r in found} == parent
 
 
+def test_wanted_texts_are_found_without_a_list_of_rows_on_the_driver(spark, monkeypatch):
+    plans, whole = {}, minhash.store
+
+    def noted(df, name, *more):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return whole(df, name, *more)
+
+    monkeypatch.setattr(minhash, "store", noted)
+    rows = [(i, f"a{i // 2} b{i // 2} c{i // 2} d{i // 2} e{i // 2} f{i // 2}" + " g" * (i % 2)) for i in range(40)]
+    found = minhash.near_duplicates(spark.createDataFrame([*rows, (None, rows[0][1])], "doc_id long, text string"), k=1)
+    assert sorted((r.doc_id, r.component_id) for r in found.collect() if r.doc_id is not None) \
+        == [(i, i - i % 2) for i in range(40)]
+    sent = [x for x in plans["sets"].splitlines() if "strategy=broadcast" in x]
+    assert len(sent) == 1 and "LeftSemi" in sent[0] and "_bitmap" in sent[0]  # no rows, only the bitmaps
+    assert any("Inner" in x and "strategy=merge" in x for x in plans["sets"].splitlines())
+
+
+@pytest.mark.parametrize("bits", [None, 1 << 15, 8])
+def test_likely_rows_hold_every_key(spark, bits):
+    rows = spark.range(20_000).select(F.when(F.col("id") % 50 > 0, F.concat(F.lit("é"), "id")).alias("id"),
+                                      F.xxhash64("id").alias("th"))
+    keys = rows.where(F.col("id").isNotNull() & (F.col("th") % 10 == 0)).union(
+        spark.createDataFrame([("elsewhere", 1)], "id string, th long"))
+    got = likely_rows(rows, keys, ["id", "th"], bits)
+    assert got.columns == rows.columns
+    found = {(r.id, r.th) for r in got.collect()}
+    exact = {(r.id, r.th) for r in rows.join(keys, ["id", "th"], "left_semi").collect()}
+    assert len(exact) > 1000 and exact <= found
+    if bits is None:
+        assert len(found) < len(exact) + 50
+    assert likely_rows(rows, keys.limit(0), ["id", "th"], bits).count() == 0
+
+
 def test_links_at_the_threshold_share_a_table():
     rng = np.random.default_rng(12)
     missed = 0
